@@ -74,7 +74,8 @@ def tokenize_docs(s, d):
 
 
 def stopword_filter(s, d):
-    kept = fx.documents(s, d).select("id", remove_stopwords(tokenize("text")).alias("tokens"))
+    tokens = fx.documents(s, d).select("id", tokenize("text").alias("tokens"))
+    kept = tokens.select("id", remove_stopwords("tokens").alias("tokens"))
     return kept.select("id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 

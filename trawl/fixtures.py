@@ -9,6 +9,7 @@ from trawl.functions.text import term_frequencies, terms
 from trawl.operators.indexing import Index
 from trawl.operators.joins import spread_join
 from trawl.operators.ranking import query_terms
+from trawl.sources.corpus import balanced
 
 MIN_DF = 5
 TITLE_PATTERN = "<title>([^<]*)</title>"
@@ -16,13 +17,15 @@ LINK_PATTERN = '<a href="([^"]*)">([^<]*)</a>'
 MARKUP_PATTERN = "(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """A driver table, spread by ``key`` if it is given and the table is small."""
+    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read if key is None else balanced(read, key)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, text)``"""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return table(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
 
 
 def _page_columns() -> list[Column]:
@@ -33,13 +36,13 @@ def _page_columns() -> list[Column]:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, title, text)``"""
-    return table(spark, sf_dir, "pages").select(*_page_columns())
+    return table(spark, sf_dir, "pages", "page_id").select(*_page_columns())
 
 
 def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(src, href, text)``, one row per link of a page."""
     part = lambda group: F.regexp_extract_all("html", F.lit(LINK_PATTERN), F.lit(group))
-    found = table(spark, sf_dir, "pages").select(
+    found = table(spark, sf_dir, "pages", "page_id").select(
         F.col("page_id").alias("src"), F.explode(F.arrays_zip(part(1).alias("href"), part(2).alias("text"))).alias("a"))
     return found.select("src", "a.href", "a.text")
 
@@ -61,7 +64,7 @@ def nested_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda group: F.regexp_extract_all("html", F.lit(LINK_PATTERN), F.lit(group))
     numbered = F.zip_with(part(1), part(2), lambda href, text: F.struct(
         F.conv(F.substring(F.md5(href), 1, 8), 16, 10).cast("bigint").alias("id"), text.alias("text")))
-    return table(spark, sf_dir, "pages").select(*_page_columns(), numbered.alias("anchor_text"))
+    return table(spark, sf_dir, "pages", "page_id").select(*_page_columns(), numbered.alias("anchor_text"))
 
 
 def pageview_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,22 +39,36 @@ CORPUS_STOPWORDS = [
 STOPWORDS = ENGLISH_STOPWORDS + CORPUS_STOPWORDS
 
 
-def tokenize(text: Column | str) -> Column:
-    """Lower-cased tokens in text order; NULL text stays NULL."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def remove_stopwords(tokens: Column, stopwords: Iterable[str] | None = None) -> Column:
-    """Drop stopwords, keeping order and repeats (array_except would lose repeats)."""
+def _tokens_sql(text: str) -> str:
+    return f"regexp_extract_all(lower({text}), {_quoted(TOKEN_PATTERN)}, 0)"
+
+
+def _kept_sql(tokens: str, stopwords: Iterable[str] | None) -> str:
     words = list(STOPWORDS if stopwords is None else stopwords)
     if not words:
         return tokens
-    return F.filter(tokens, lambda t: ~t.isin(words))
+    return f"filter({tokens}, t -> t NOT IN ({', '.join(map(_quoted, words))}))"
+
+
+# SQL text, because a list of some 200 literals is parsed far faster than it is built one by one.
+
+def tokenize(text: str) -> Column:
+    """Lower-cased tokens of a text column in text order; NULL text stays NULL."""
+    return F.expr(_tokens_sql(text))
+
+
+def remove_stopwords(tokens: str, stopwords: Iterable[str] | None = None) -> Column:
+    """Drop stopwords from a token array, keeping order and repeats (array_except would lose repeats)."""
+    return F.expr(_kept_sql(tokens, stopwords))
 
 
-def terms(text: Column | str, stopwords: Iterable[str] | None = None) -> Column:
-    return remove_stopwords(tokenize(text), stopwords)
+def terms(text: str, stopwords: Iterable[str] | None = None) -> Column:
+    """Tokens of a text column without stopwords."""
+    return F.expr(_kept_sql(_tokens_sql(text), stopwords))
 
 
 def count_tokens(df: DataFrame, keys: list[str], tokens: Column, count: str = "tf") -> DataFrame:

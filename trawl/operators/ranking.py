@@ -42,10 +42,9 @@ def search_body(index: Index, queries: DataFrame, n_docs: Column | int, k: int |
                 titles: DataFrame | None = None, stopwords: Iterable[str] | None = None,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """TF-IDF cosine over the body. Both norms run over the query's terms only."""
-    batch = _Batch(queries, stopwords, 1, broadcast_bytes)
-    cosine = batch.cosine_weights(index, n_docs)
-    scores = batch.score({BODY: index}, cosine, _cosine_sums()).select("query_id", "doc_id", _cosine().alias("score"))
-    return resolve_titles(top_k(scores, k), titles)
+    batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes)
+    scores = batch.score(_cosine_weights(batch.known_terms(), n_docs), _cosine_sums())
+    return resolve_titles(top_k(scores.select("query_id", "doc_id", _cosine().alias("score")), k), titles)
 
 
 def search_binary(index: Index | None, queries: DataFrame, k: int | None = TOP_K,
@@ -55,9 +54,8 @@ def search_binary(index: Index | None, queries: DataFrame, k: int | None = TOP_K
     if index is None:
         empty = queries.sparkSession.createDataFrame([], "query_id bigint, doc_id bigint, score double")
         return resolve_titles(top_k(empty, k), titles)
-    batch = _Batch(queries, stopwords, 1, broadcast_bytes)
-    scores = batch.score({TITLE: index}, batch.binary_weights(TITLE, index),
-                         [F.count("*").cast("double").alias("score")])
+    batch = _Batch({TITLE: index}, queries, stopwords, broadcast_bytes)
+    scores = batch.score(batch.known_terms(), [F.count("*").cast("double").alias("score")])
     return resolve_titles(top_k(scores, k), titles)
 
 
@@ -70,18 +68,14 @@ def search_bm25(index: Index, queries: DataFrame, k1: float = K1, b: float = B,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """BM25 with fixed document length. ``n`` is the number of terms with postings unless given.
 
-    All matches are ranked unless ``k`` is given.
+    Without ``k`` all matches are returned, their rank left empty.
     """
     if n is None:
         n = index.posted_terms.agg(F.count("*")).scalar()
-    batch = _Batch(queries, stopwords, 1, broadcast_bytes)
-    weights = (batch.with_df(index)
-               .withColumn("weight", F.col("q_tf") * scoring.bm25_idf(F.col("df"), n))
-               .withColumn("field", F.lit(BODY))
-               .where(F.col("df") < index.max_df))
+    batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes)
+    weights = batch.known_terms().withColumn("weight", F.col("q_tf") * scoring.bm25_idf(F.col("df"), n))
     gain = scoring.bm25_gain(F.col("weight"), F.col("tf"), k1, b)
-    scores = batch.score({BODY: index}, weights, [F.sum(gain).alias("score")])
-    return resolve_titles(top_k(scores, k), titles)
+    return resolve_titles(top_k(batch.score(weights, [F.sum(gain).alias("score")]), k), titles)
 
 
 def search(body: Index, title: Index, anchor: Index | None, queries: DataFrame, n_docs: Column | int,
@@ -94,14 +88,12 @@ def search(body: Index, title: Index, anchor: Index | None, queries: DataFrame,
     are scored in one pass over the union of their postings.
     """
     indexes = {BODY: body, TITLE: title} | ({} if anchor is None else {ANCHOR: anchor})
-    batch = _Batch(queries, stopwords, len(indexes), broadcast_bytes)
-    weights = reduce(DataFrame.unionByName,
-                     [batch.cosine_weights(body, n_docs)]
-                     + [batch.binary_weights(f, indexes[f]) for f in indexes if f != BODY])
+    batch = _Batch(indexes, queries, stopwords, broadcast_bytes)
     matches = [F.count_if(F.col("field") == f).alias(f) for f in (TITLE, ANCHOR)]
     signals = {name: table for name, table in (("pagerank", pagerank), ("pageviews", pageviews))
                if table is not None}
-    scored = batch.score(indexes, weights, [*_cosine_sums(), *matches, F.max("q_len").alias("q_len")], signals)
+    scored = batch.score(_cosine_weights(batch.known_terms(), n_docs),
+                         [*_cosine_sums(), *matches, F.max("q_len").alias("q_len")], signals)
 
     share = lambda c: F.col(c) / F.col("q_len")
     parts = {BODY: F.coalesce(_cosine(), F.lit(0.0)), TITLE: share(TITLE), ANCHOR: share(ANCHOR)}
@@ -155,12 +147,20 @@ def resolve_titles(results: DataFrame, titles: DataFrame | None) -> DataFrame:
     return named.select("query_id", "rank", "doc_id", "title", "score")
 
 
+def _cosine_weights(known: DataFrame, n_docs: Column | int) -> DataFrame:
+    """Body weights and the query's norm, in which known terms without postings count too."""
+    weighted = (known
+                .withColumn("idf", F.when(F.col("field") == BODY, scoring.idf(F.col("df"), n_docs)))
+                .withColumn("weight", F.col("q_tf") * F.col("idf")))
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("query_id")))
+    return weighted.withColumn("q_norm", scoring.or_one(norm))
+
+
 def _cosine_sums() -> list[Column]:
-    in_body = F.col("field") == BODY
     weight = F.col("tf") * F.col("idf")
     return [
-        F.sum(F.when(in_body, weight * F.col("weight"))).alias("_dot"),
-        F.sum(F.when(in_body, weight * weight)).alias("_norm2"),
+        F.sum(weight * F.col("weight")).alias("_dot"),
+        F.sum(weight * weight).alias("_norm2"),
         F.max("q_norm").alias("_q_norm"),
     ]
 
@@ -170,56 +170,58 @@ def _cosine() -> Column:
 
 
 class _Batch:
-    """The query side of one search and its join with postings."""
+    """The query side of one search and its join with the postings of some indices."""
 
-    def __init__(self, queries: DataFrame, stopwords: Iterable[str] | None, copies: int, broadcast_bytes: int):
+    def __init__(self, indexes: dict[str, Index], queries: DataFrame,
+                 stopwords: Iterable[str] | None, broadcast_bytes: int):
         self.terms = query_terms(queries, stopwords)
-        self.small = tokens_fit_broadcast(queries, "query", copies, broadcast_bytes)
-
-    def with_df(self, index: Index) -> DataFrame:
-        """Query terms the index knows, with their df."""
+        self.small = tokens_fit_broadcast(queries, "query", len(indexes), broadcast_bytes)
+        self.indexes = self._push_terms(indexes) if self.small else indexes
+        self.postings = _by_field({f: i.counted.select("term", "doc_id", "tf") for f, i in self.indexes.items()})
         if self.small:
-            known = index.stats_of(self.terms).select("term", "df")
-            return known.join(F.broadcast(self.terms), "term")
+            wanted = F.broadcast(self.terms.select("term"))
+            self.postings = self.postings.join(wanted, "term", "left_semi").repartition("doc_id")
+
+    def known_terms(self) -> DataFrame:
+        """``(field, term, df, query_id, q_len, q_tf)`` for the query terms an index knows."""
+        if not self.small:
+            return self._join_terms(_by_field({f: i.term_stats for f, i in self.indexes.items()}))
+        stored = {f: i.term_stats for f, i in self.indexes.items() if i.stored_stats is not None}
+        parts = [_by_field(stored).select("field", "term", "df")] if stored else []
+        if len(stored) < len(self.indexes):
+            # Counting over tf makes this read the very exchange that is scored later, so
+            # Spark runs it once. For the same reason fields are told apart only afterwards.
+            counted = self.postings.groupBy("field", "term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+            parts.append(counted.where(~F.col("field").isin(list(stored)) if stored else F.lit(True))
+                         .where(F.col("df") > self._limit("min_df")))
+        return reduce(DataFrame.unionByName, parts).join(F.broadcast(self.terms), "term")
+
+    def _join_terms(self, stats: DataFrame) -> DataFrame:
+        """The same by shuffle; a term that many queries ask for is split by their number."""
         used = self.terms.groupBy("term").agg(F.count("*").alias("load"))
-        known = index.term_stats.select("term", "df").join(used, "term")
-        return spread_join(self.terms, known.select("term", "df"), ["term"],
-                           known.select("term", "load"), ["query_id"])
-
-    def cosine_weights(self, index: Index, n_docs: Column | int) -> DataFrame:
-        """Known terms without postings still enter the query norm."""
-        weighted = (self.with_df(index)
-                    .withColumn("idf", scoring.idf(F.col("df"), n_docs))
-                    .withColumn("weight", F.col("q_tf") * F.col("idf")))
-        norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("query_id")))
-        weights = weighted.select(F.lit(BODY).alias("field"), "query_id", "term", "q_len", "df", "idf", "weight",
-                                  scoring.or_one(norm).alias("q_norm"))
-        return weights.where(F.col("df") < index.max_df)
-
-    def binary_weights(self, field: str, index: Index) -> DataFrame:
-        none = F.lit(None).cast("double")
-        return self.with_df(index).where(F.col("df") < index.max_df).select(
-            F.lit(field).alias("field"), "query_id", "term", "q_len", "df",
-            none.alias("idf"), none.alias("weight"), none.alias("q_norm"))
-
-    def score(self, indexes: dict[str, Index], weights: DataFrame, sums: list[Column],
+        known = stats.select("field", "term", "df").join(used, "term")
+        loads = known.groupBy("term").agg(F.max("load").alias("load"))
+        return spread_join(self.terms, known.drop("load"), ["term"], loads, ["query_id"])
+
+    def score(self, weights: DataFrame, sums: list[Column],
               signals: dict[str, DataFrame] | None = None) -> DataFrame:
         """``(query_id, doc_id)`` with the given sums over matching postings, and the document's signals."""
-        if self.small:
-            indexes = self._push_terms(indexes)
-        postings = reduce(DataFrame.unionByName, [
-            i.counted.select(F.lit(f).alias("field"), "term", "doc_id", "tf") for f, i in indexes.items()])
         on, pair, signals = ["field", "term"], ["query_id", "doc_id"], signals or {}
-        carried = [F.max(name).alias(name) for name in signals]
+        weights = weights.where(F.col("df") < self._limit("max_df"))
         if self.small:
-            by_doc = postings.join(F.broadcast(self.terms.select("term")), "term", "left_semi").repartition("doc_id")
-            by_doc = _with_signals(by_doc, signals)
+            carried = [F.max(name).alias(name) for name in signals]
+            by_doc = _with_signals(self.postings, signals)
             return by_doc.join(F.broadcast(weights), on).groupBy(*pair).agg(*sums, *carried)
         loads = weights.groupBy(*on).agg((F.max("df").cast("double") * F.count("*")).alias("load"))
-        matched = spread_join(postings, weights, on, loads, ["doc_id"])
+        matched = spread_join(self.postings, weights, on, loads, ["doc_id"])
         return _with_signals(matched.groupBy(*pair).agg(*sums), signals)
 
+    def _limit(self, name: str) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for f, i in self.indexes.items() for x in (f, getattr(i, name))]),
+                            F.col("field")).cast("bigint")
+
     def _push_terms(self, indexes: dict[str, Index]) -> dict[str, Index]:
+        """Let a short list of terms choose the buckets and row groups to read of saved indices."""
         if all(i.n_buckets is None for i in indexes.values()):
             return indexes
         wanted = [r["term"] for r in self.terms.select("term").distinct().limit(PUSHED_TERMS + 1).collect()]
@@ -228,6 +230,10 @@ class _Batch:
         return {f: i.restricted_to(wanted) for f, i in indexes.items()}
 
 
+def _by_field(tables: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [t.withColumn("field", F.lit(f)) for f, t in tables.items()])
+
+
 def _with_signals(by_doc: DataFrame, signals: dict[str, DataFrame]) -> DataFrame:
     """Left-join ``(id, value)`` tables under their names, by doc_id."""
     for name, table in signals.items():

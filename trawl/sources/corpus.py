@@ -8,9 +8,28 @@ from pyspark.sql import functions as F
 from trawl import schemas
 
 
+SMALL_INPUT = 256 * 1024 * 1024
+
+
+def balanced(df: DataFrame, key: str) -> DataFrame:
+    """A small input spread over all cores, for work that is heavy per row.
+
+    A file of a few megabytes can be a single row group, which one task would
+    process alone. Inputs above SMALL_INPUT have row groups enough and are not moved.
+
+    Rows go by a hash of the key, not by the key itself: a later exchange by document
+    would then be dropped as superfluous, and two parts of a plan could not share it.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SMALL_INPUT:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(key))
+
+
 def read_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parquet documents ``(id, title, text, anchor_text)``; a glob is fine."""
-    return spark.read.schema(schemas.CORPUS).parquet(*([path] if isinstance(path, str) else path))
+    corpus = spark.read.schema(schemas.CORPUS).parquet(*([path] if isinstance(path, str) else path))
+    return balanced(corpus, "id")
 
 
 def read_pageviews(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,27 +27,34 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
     A bucket with more than ``slice_postings`` postings, be they of one term, is
     divided by document into slices, each written by one task. ``info`` goes last
     and marks the index as complete.
+
+    Tokenising costs far more than reading its result back, so the counted terms are kept on
+    the executors' disks between the two writes. Lost blocks are counted again.
     """
     spark = index.counted.sparkSession
     bucket = term_bucket(F.col("term"), n_buckets)
-    (index.term_stats.withColumn("bucket", bucket)
-     .repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "term")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_stats"))
-    stats = _read(spark, f"{path}/term_stats", schemas.TERM_STATS)
-    posted = stats.where(F.col("df") < index.max_df)
-
-    # One row per bucket, so n_buckets rows at most.
-    sizes = {r["bucket"]: r["n"] for r in posted.groupBy("bucket").agg(F.sum("df").alias("n")).collect()}
-    slices = [-(-sizes.get(b, 0) // slice_postings) for b in range(n_buckets)]
-    n_slices = F.element_at(F.array(*[F.lit(max(1, n)) for n in slices]), F.col("bucket") + 1)
-
-    postings = cut_postings(index.counted.select("term", "doc_id", "tf"), posted,
-                            small=fits_broadcast(posted, "term"))
-    (postings.withColumn("bucket", bucket)
-     .withColumn("_slice", F.pmod(F.xxhash64("doc_id"), n_slices))
-     .repartition(max(1, sum(slices)), "bucket", "_slice").drop("_slice")
-     .sortWithinPartitions("bucket", "term", "doc_id")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
+    counted = index.counted.persist(StorageLevel.DISK_ONLY)
+    try:
+        (index.term_stats.withColumn("bucket", bucket)
+         .repartitionById(n_buckets, "bucket").sortWithinPartitions("term")
+         .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_stats"))
+        stats = _read(spark, f"{path}/term_stats", schemas.TERM_STATS)
+        posted = stats.where(F.col("df") < index.max_df)
+
+        # One row per bucket, so n_buckets rows at most.
+        sizes = {r["bucket"]: r["n"] for r in posted.groupBy("bucket").agg(F.sum("df").alias("n")).collect()}
+        slices = [max(1, -(-sizes.get(b, 0) // slice_postings)) for b in range(n_buckets)]
+        firsts = list(accumulate(slices, initial=0))
+        of_bucket = lambda values: F.element_at(F.lit(values), F.col("bucket") + 1)
+        slice_id = (of_bucket(firsts) + F.pmod(F.xxhash64("doc_id"), of_bucket(slices))).cast("int")
+
+        postings = cut_postings(counted.select("term", "doc_id", "tf"), posted, small=fits_broadcast(posted, "term"))
+        (postings.withColumn("bucket", bucket)
+         .repartitionById(firsts[-1], slice_id)
+         .sortWithinPartitions("bucket", "term", "doc_id")
+         .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
+    finally:
+        counted.unpersist()
 
     info = spark.createDataFrame([(index.min_df, index.max_df, n_buckets)], schemas.INDEX_INFO)
     info.coalesce(1).write.mode(mode).parquet(f"{path}/info")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions.text import term_frequencies, terms
-from trawl.operators.indexing import Index
-from trawl.operators.joins import spread_join
+from trawl.functions.text import terms
+from trawl.operators.indexing import build_index
+from trawl.operators.joins import lookup_join, spread_join, tokens_fit_broadcast
 from trawl.operators.ranking import query_terms
 from trawl.sources.corpus import balanced
 
@@ -50,13 +50,11 @@ def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(src, dst, text)``; a link leads to the first page that carries the same address.
 
-    An address that a large share of all pages carries is split by its count.
+    An address may be on a large share of all pages.
     """
     found = raw_links(spark, sf_dir)
-    targets = found.groupBy("href").agg(F.min("src").alias("dst"), F.count("*").alias("load"))
-    joined = spread_join(found, targets.select("href", "dst"), ["href"],
-                         targets.select("href", "load"), ["src", "text"])
-    return joined.select("src", "dst", "text")
+    targets = found.groupBy("href").agg(F.min("src").alias("dst"))
+    return lookup_join(found, targets, "href", ["src", "text"]).select("src", "dst", "text")
 
 
 def nested_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,11 +78,18 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(query_id, doc_id)``: the documents that hold the query's rarest known term."""
-    wanted = query_terms(queries(spark, sf_dir))
-    counted = term_frequencies(documents(spark, sf_dir), "id", "text")
-    known = Index(counted).stats_of(wanted).join(wanted, "term")
-    rarest = known.groupBy("query_id").agg(F.min(F.struct("df", "term")).alias("r")).select("query_id", "r.term")
-    return rarest.join(counted, "term").select("query_id", "doc_id")
+    asked = queries(spark, sf_dir)
+    wanted = query_terms(asked)
+    index = build_index(documents(spark, sf_dir), "text", min_df=0)
+    small = tokens_fit_broadcast(asked, "query")
+    known = (index.stats_of(wanted) if small else index.term_stats).join(wanted, "term")
+    rarest = known.groupBy("query_id").agg(F.min(F.struct("df", "term")).alias("r")).select("query_id", "r.df", "r.term")
+    if small:
+        found = index.counted.join(F.broadcast(rarest), "term")
+    else:
+        loads = rarest.groupBy("term").agg((F.max("df").cast("double") * F.count("*")).alias("load"))
+        found = spread_join(index.counted, rarest, ["term"], loads, ["doc_id"])
+    return found.select("query_id", "doc_id")
 
 
 def tokenised_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:

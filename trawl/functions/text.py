@@ -39,19 +39,20 @@ CORPUS_STOPWORDS = [
 STOPWORDS = ENGLISH_STOPWORDS + CORPUS_STOPWORDS
 
 
-def _quoted(value: str) -> str:
+def quoted(value: str) -> str:
+    """A string as an SQL literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _tokens_sql(text: str) -> str:
-    return f"regexp_extract_all(lower({text}), {_quoted(TOKEN_PATTERN)}, 0)"
+    return f"regexp_extract_all(lower({text}), {quoted(TOKEN_PATTERN)}, 0)"
 
 
 def _kept_sql(tokens: str, stopwords: Iterable[str] | None) -> str:
     words = list(STOPWORDS if stopwords is None else stopwords)
     if not words:
         return tokens
-    return f"filter({tokens}, t -> t NOT IN ({', '.join(map(_quoted, words))}))"
+    return f"filter({tokens}, t -> t NOT IN ({', '.join(map(quoted, words))}))"
 
 
 # SQL text, because a list of some 200 literals is parsed far faster than it is built one by one.

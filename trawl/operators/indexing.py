@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.text import term_frequencies, terms, token_frequencies
+from trawl.functions.text import quoted, term_frequencies, terms, token_frequencies
 from trawl.operators.joins import spread_join
 
 BODY_MIN_DF = 50
@@ -72,8 +72,9 @@ class Index:
         """The same index, reading only the buckets and row groups that can hold ``wanted``."""
         if self.n_buckets is None:
             return self
-        buckets = [term_bucket(F.lit(t), self.n_buckets) for t in wanted]
-        chosen = F.col("bucket").isin(*buckets) & F.col("term").isin(wanted)
+        literals = [quoted(t) for t in wanted]
+        buckets = [f"CAST(pmod(xxhash64({t}), {self.n_buckets}) AS INT)" for t in literals]
+        chosen = F.expr(f"bucket IN ({', '.join(buckets)}) AND term IN ({', '.join(literals)})")
         return replace(self, counted=self.counted.where(chosen),
                        stored_stats=self.stored_stats.where(chosen))
 

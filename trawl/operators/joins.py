@@ -55,3 +55,9 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], loads: DataFram
     repeated = (keys.join(heavy, on, "left")
                 .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
     return divided.join(repeated, [*on, "_part"], how).drop("_part")
+
+
+def lookup_join(rows: DataFrame, table: DataFrame, on: str, spread: list[str], how: str = "inner") -> DataFrame:
+    """Join to a table with one row per key, when any share of ``rows`` may have the same key."""
+    loads = rows.groupBy(on).agg(F.count("*").alias("load"))
+    return spread_join(rows, table, [on], loads, spread, how)

@@ -22,6 +22,7 @@ from trawl.functions.text import count_tokens, terms
 from trawl.operators.indexing import Index
 from trawl.operators.joins import BROADCAST_BYTES, spread_join, tokens_fit_broadcast
 from trawl.operators.signals import top_of
+from trawl.sources.shared import write_shared
 
 TOP_K = 100
 BODY, TITLE, ANCHOR = "body", "title", "anchor"
@@ -197,9 +198,12 @@ class _Batch:
         return reduce(DataFrame.unionByName, parts).join(F.broadcast(self.terms), "term")
 
     def _join_terms(self, stats: DataFrame) -> DataFrame:
-        """The same by shuffle; a term that many queries ask for is split by their number."""
+        """The same by shuffle; a term that many queries ask for is split by their number.
+
+        The terms are written once, as they are read several times to balance the join.
+        """
         used = self.terms.groupBy("term").agg(F.count("*").alias("load"))
-        known = stats.select("field", "term", "df").join(used, "term")
+        known = write_shared(stats.select("field", "term", "df").join(used, "term"), "known-terms")
         loads = known.groupBy("term").agg(F.max("load").alias("load"))
         return spread_join(self.terms, known.drop("load"), ["term"], loads, ["query_id"])
 
@@ -212,6 +216,7 @@ class _Batch:
             carried = [F.max(name).alias(name) for name in signals]
             by_doc = _with_signals(self.postings, signals)
             return by_doc.join(F.broadcast(weights), on).groupBy(*pair).agg(*sums, *carried)
+        weights = write_shared(weights, "query-weights")
         loads = weights.groupBy(*on).agg((F.max("df").cast("double") * F.count("*")).alias("load"))
         matched = spread_join(self.postings, weights, on, loads, ["doc_id"])
         return _with_signals(matched.groupBy(*pair).agg(*sums), signals)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.operators.joins import lookup_join
+
 # Fixed value: an integer as it may stand in a page-view line.
 INTEGER_PATTERN = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
@@ -44,11 +46,11 @@ def top_of(signal: DataFrame, value: str) -> Column:
 
 def lookup_pagerank(ids: DataFrame, pagerank: DataFrame) -> DataFrame:
     """``(pos, id, pagerank)`` for ``ids (pos, id)``: repeats kept, 0.0 if unknown, ordered by pos."""
-    found = ids.join(pagerank, "id", "left")
+    found = lookup_join(ids, pagerank, "id", ["pos"], "left")
     return found.select("pos", "id", F.coalesce("pagerank", F.lit(0.0)).alias("pagerank")).orderBy("pos")
 
 
 def lookup_pageviews(ids: DataFrame, pageviews: DataFrame) -> DataFrame:
     """``(pos, id, views)`` for ``ids (pos, id)``: repeats kept, 0 if unknown, ordered by pos."""
-    found = ids.join(pageviews, "id", "left")
+    found = lookup_join(ids, pageviews, "id", ["pos"], "left")
     return found.select("pos", "id", F.coalesce("views", F.lit(0)).cast("bigint").alias("views")).orderBy("pos")

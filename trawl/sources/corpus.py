@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl import schemas
+from trawl.operators.joins import lookup_join
 
 
 SMALL_INPUT = 256 * 1024 * 1024
@@ -50,4 +51,4 @@ def read_qrels(spark: SparkSession, path: str | list[str], one_object_per_line:
 
 def match_qrels(qrels: DataFrame, queries: DataFrame) -> DataFrame:
     """``(query_id, doc_id)``: judgements by query text joined to ``queries (query_id, query)``."""
-    return qrels.join(queries, "query").select("query_id", "doc_id")
+    return lookup_join(qrels, queries, "query", ["doc_id"]).select("query_id", "doc_id")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions.text import terms
-from trawl.operators.indexing import build_index
+from trawl.functions.text import term_frequencies, terms
 from trawl.operators.joins import lookup_join, spread_join, tokens_fit_broadcast
 from trawl.operators.ranking import query_terms
 from trawl.sources.corpus import balanced
@@ -80,15 +79,17 @@ def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(query_id, doc_id)``: the documents that hold the query's rarest known term."""
     asked = queries(spark, sf_dir)
     wanted = query_terms(asked)
-    index = build_index(documents(spark, sf_dir), "text", min_df=0)
+    counted = term_frequencies(documents(spark, sf_dir), "id", "text")
     small = tokens_fit_broadcast(asked, "query")
-    known = (index.stats_of(wanted) if small else index.term_stats).join(wanted, "term")
+    if small:
+        counted = counted.join(F.broadcast(wanted.select("term")), "term", "left_semi").repartition("doc_id")
+    known = counted.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")).join(wanted, "term")
     rarest = known.groupBy("query_id").agg(F.min(F.struct("df", "term")).alias("r")).select("query_id", "r.df", "r.term")
     if small:
-        found = index.counted.join(F.broadcast(rarest), "term")
+        found = counted.join(F.broadcast(rarest), "term")
     else:
         loads = rarest.groupBy("term").agg((F.max("df").cast("double") * F.count("*")).alias("load"))
-        found = spread_join(index.counted, rarest, ["term"], loads, ["doc_id"])
+        found = spread_join(counted, rarest, ["term"], loads, ["doc_id"])
     return found.select("query_id", "doc_id")
 
 

@@ -66,7 +66,14 @@ class Index:
         columns = self.counted.select("term", "doc_id", "tf")
         if self.n_buckets is not None:
             return columns
-        return cut_postings(columns, self.posted_terms)
+        if self.stored_stats is not None:
+            return cut_postings(columns, self.posted_terms)
+        # Tokenising twice would cost more than this exchange, which Spark runs once for
+        # all uses: counting over tf keeps its columns the same, and the filter stands where
+        # the join on term would put one of its own.
+        columns = columns.where(F.col("term").isNotNull()).repartition("doc_id")
+        counts = columns.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+        return cut_postings(columns, counts.where((F.col("df") > self.min_df) & (F.col("df") < self.max_df)))
 
     def restricted_to(self, wanted: list[str]) -> Index:
         """The same index, reading only the buckets and row groups that can hold ``wanted``."""

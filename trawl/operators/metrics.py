@@ -16,18 +16,24 @@ PRECISION_K, F1_K, AP_K = 5, 30, 40
 
 
 def _judged(queries: DataFrame, run: DataFrame, qrels: DataFrame, k: int) -> DataFrame:
-    """Per query: ``relevant``, their number, and ``top``, the ranks up to k with their hits."""
-    qrels = qrels.select("query_id", "doc_id").distinct()
-    marked = (run.where(F.col("rank") <= k).select("query_id", "rank", "doc_id")
-              .join(qrels.withColumn("hit", F.lit(1)), ["query_id", "doc_id"], "left")
-              .select("query_id", F.struct("rank", F.coalesce("hit", F.lit(0)).alias("hit")).alias("r")))
-    # At most k entries per query.
-    tops = marked.groupBy("query_id").agg(F.sort_array(F.collect_list("r")).alias("top"))
-    counts = qrels.groupBy("query_id").agg(F.count("*").alias("relevant"))
-    return (queries.select("query_id").distinct()
-            .join(counts, "query_id", "left").join(tops, "query_id", "left")
-            .select("query_id", F.coalesce("relevant", F.lit(0)).alias("relevant"),
-                    F.coalesce("top", F.array().cast("array<struct<rank:int,hit:int>>")).alias("top")))
+    """Per query: ``relevant``, their number, and ``top``, the ranks up to k with their hits.
+
+    The three tables are stacked and grouped rather than joined: once by query and document,
+    where judgements meet ranks, and once by query. Only ranks up to k are collected.
+    """
+    stacked = (queries.select("query_id", F.lit(None).cast("bigint").alias("doc_id"),
+                              F.lit(None).cast("int").alias("rank"), F.lit(0).alias("judged"), F.lit(1).alias("asked"))
+               .unionByName(run.where(F.col("rank") <= k).select(
+                   "query_id", "doc_id", "rank", F.lit(0).alias("judged"), F.lit(0).alias("asked")))
+               .unionByName(qrels.select("query_id", "doc_id", F.lit(None).cast("int").alias("rank"),
+                                         F.lit(1).alias("judged"), F.lit(0).alias("asked"))))
+    met = stacked.groupBy("query_id", "doc_id").agg(
+        F.max("judged").alias("judged"), F.max("asked").alias("asked"), F.collect_list("rank").alias("ranks"))
+    hits = F.transform("ranks", lambda r: F.struct(r.alias("rank"), F.col("judged").alias("hit")))
+    return (met.groupBy("query_id")
+            .agg(F.max("asked").alias("asked"), F.sum("judged").alias("relevant"),
+                 F.sort_array(F.flatten(F.collect_list(F.when(F.size("ranks") > 0, hits)))).alias("top"))
+            .where("asked = 1"))
 
 
 def _first(k: int) -> Column:

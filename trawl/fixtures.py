@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.text import term_frequencies, terms
-from trawl.operators.joins import lookup_join, spread_join, tokens_fit_broadcast
+from trawl.operators.joins import spread_join, tokens_fit_broadcast
 from trawl.operators.ranking import query_terms
 from trawl.sources.corpus import balanced
 
@@ -51,9 +51,11 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     An address may be on a large share of all pages.
     """
-    found = raw_links(spark, sf_dir)
-    targets = found.groupBy("href").agg(F.min("src").alias("dst"))
-    return lookup_join(found, targets, "href", ["src", "text"]).select("src", "dst", "text")
+    # Pages are parsed once: counts, targets and rows read the same columns of one exchange.
+    found = raw_links(spark, sf_dir).where("href IS NOT NULL").repartition("src")
+    targets = found.groupBy("href").agg(F.min(F.struct("src", "text"))["src"].alias("dst"))
+    loads = found.groupBy("href").agg(F.count_if(F.col("text").isNotNull()).alias("load"))
+    return spread_join(found, targets, ["href"], loads, ["src", "text"]).select("src", "dst", "text")
 
 
 def nested_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ SPLIT_LOAD = 4_000_000
 MAX_SPLIT_KEYS = 10_000
 # A table is broadcast only if it is known to take less memory than this.
 BROADCAST_BYTES = 128 * 1024 * 1024
-# Memory of a fixed-width row in a broadcast hash table, strings apart.
-ROW_BYTES = 128
+# Memory of a row in a broadcast hash table with its key and pointers, long strings apart.
+ROW_BYTES = 256
 
 
 def fits_broadcast(df: DataFrame, text_col: str, limit: int = BROADCAST_BYTES) -> bool:

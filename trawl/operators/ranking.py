@@ -181,7 +181,10 @@ class _Batch:
         self.postings = _by_field({f: i.counted.select("term", "doc_id", "tf") for f, i in self.indexes.items()})
         if self.small:
             wanted = F.broadcast(self.terms.select("term"))
-            self.postings = self.postings.join(wanted, "term", "left_semi").repartition("doc_id")
+            # A fixed number of partitions: each posting is about to meet all queries with its
+            # term, so the exchanged bytes say little about the work behind them.
+            n = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            self.postings = self.postings.join(wanted, "term", "left_semi").repartition(n, "doc_id")
 
     def known_terms(self) -> DataFrame:
         """``(field, term, df, query_id, q_len, q_tf)`` for the query terms an index knows."""

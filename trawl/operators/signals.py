@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from trawl.operators.joins import lookup_join
 
-# Fixed value: an integer as it may stand in a page-view line.
-INTEGER_PATTERN = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
+# Fixed value: an integer with underscores between its digits, which counts as an integer too.
+GROUPED_PATTERN = r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$"
 
 
 def parse_pageviews(lines: DataFrame) -> DataFrame:
@@ -17,11 +17,19 @@ def parse_pageviews(lines: DataFrame) -> DataFrame:
     Every other line is dropped.
     """
     fields = lines.select(F.split("value", " ").alias("f"))
-    pairs = fields.select(F.try_element_at("f", F.lit(1)).alias("id"),
-                          F.try_element_at("f", F.lit(3)).alias("views"))
-    whole = pairs.where(F.col("id").rlike(INTEGER_PATTERN) & F.col("views").rlike(INTEGER_PATTERN))
-    number = lambda c: F.regexp_replace(c, r"[_\s]", "").try_cast("bigint").alias(c)
-    return whole.select(number("id"), number("views")).dropna()
+    pair = F.struct(_integer(1).alias("id"), _integer(3).alias("views"))
+    # As a generator the check stays above the split; as a filter it would be pushed below and
+    # repeat the split for every reference to a field.
+    whole = F.filter(F.array(pair), lambda p: p["id"].isNotNull() & p["views"].isNotNull())
+    return (fields.select(F.explode(whole).alias("p")).select("p.id", "p.views")
+            .where(F.col("id").isNotNull() & F.col("views").isNotNull()))
+
+
+def _integer(position: int) -> Column:
+    """The field as a number; the slower pattern is tried only where a plain cast fails."""
+    field = F.try_element_at("f", F.lit(position))
+    grouped = F.when(field.rlike(GROUPED_PATTERN), F.replace(field, F.lit("_"), F.lit("")))
+    return F.coalesce(field.try_cast("bigint"), grouped.try_cast("bigint"))
 
 
 def pageview_map(pairs: DataFrame, on_duplicate: str = "sum") -> DataFrame:

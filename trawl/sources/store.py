@@ -33,7 +33,10 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
     """
     spark = index.counted.sparkSession
     bucket = term_bucket(F.col("term"), n_buckets)
-    counted = index.counted.persist(StorageLevel.DISK_ONLY)
+    counted = index.counted
+    kept_here = counted.storageLevel == StorageLevel.NONE
+    if kept_here:
+        counted.persist(StorageLevel.DISK_ONLY)
     try:
         (index.term_stats.withColumn("bucket", bucket)
          .repartitionById(n_buckets, "bucket").sortWithinPartitions("term")
@@ -54,7 +57,8 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
          .sortWithinPartitions("bucket", "term", "doc_id")
          .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
     finally:
-        counted.unpersist()
+        if kept_here:
+            counted.unpersist()
 
     info = spark.createDataFrame([(index.min_df, index.max_df, n_buckets)], schemas.INDEX_INFO)
     info.coalesce(1).write.mode(mode).parquet(f"{path}/info")

@@ -2,7 +2,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from trawl.operators import links
 
@@ -72,14 +71,3 @@ def test_edges_and_vertices(spark):
     assert found.count() == 5
     assert sorted(map(tuple, links.link_edges(found).collect())) == [(1, 1), (1, 2), (1, 9)]
     assert sorted(map(tuple, links.link_vertices(corpus).collect())) == [(1, 1), (2, 2), (3, 3)]
-
-
-def test_rounds_share_one_exchange_of_edges(spark):
-    """Within a stretch, the divided edges are shuffled once, however many rounds read them."""
-    edges = spark.range(2000).select((F.col("id") % 100).alias("src"), (F.col("id") % 777).alias("dst")).distinct()
-    sums = edges
-    for _ in range(3):
-        sums = edges.repartition("src").join(sums.groupBy("dst").count().withColumnRenamed("dst", "src"), "src")
-        sums = sums.select("src", "dst")
-    sums.collect()
-    assert "Reused" in sums._jdf.queryExecution().executedPlan().toString()

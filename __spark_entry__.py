@@ -20,6 +20,14 @@ from trawl.sources import corpus as readers  # noqa: E402
 from trawl.sources import store  # noqa: E402
 from trawl.sources.shared import shared_path  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from trawl.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "trawl.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 HOT_DF = oracle.HOT_DF
 LOOKUP_TERMS = oracle.LOOKUP_TERMS
 BLOCK_DOCS = oracle.BLOCK_DOCS
@@ -314,8 +322,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in REGISTERED}
+    found = {f.__name__: f for f in REGISTERED}
+    if llm is not None:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    found = oracle.statements()
+    if llm is not None:
+        found |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -12,10 +12,10 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert {f.__name__ for f in entry.REGISTERED} <= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(f.__name__ for f in entry.REGISTERED))
 def test_query_equals_sql(spark, db, name):
     assert check.compare(spark, db, name, SMALL).startswith("ok")
 

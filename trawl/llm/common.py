@@ -114,6 +114,14 @@ class Words:
         terms = powers(int(sizes.max()))[place] * (self.bytes[flags].astype(np.uint64) + np.uint64(1))
         return mix(np.add.reduceat(terms, offsets) + sizes.astype(np.uint64) * ODD)
 
+    def beginnings(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of ``size`` bytes or more, and the hash of so many of their first bytes."""
+        which = np.flatnonzero(self.ends - self.starts >= size)
+        total = np.full(len(which), size, np.uint64)
+        for n, power in enumerate(powers(size)):
+            total += power * (self.bytes[self.starts[which] + n].astype(np.uint64) + np.uint64(1))
+        return which, mix(total * ODD)
+
 
 def byte_flags(chars: bytes) -> np.ndarray:
     flags = np.zeros(256, bool)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from trawl.llm.html_text import op2_html_text
+from trawl.llm.language import op1_language
 from trawl.llm.packing import op5_packing
+from trawl.llm.secrets import op7_secrets
 from trawl.llm.token_counts import op3_token_counts
+from trawl.llm.toxicity import op8_toxicity
 
-REGISTERED = [op3_token_counts, op5_packing]
+REGISTERED = [op1_language, op2_html_text, op3_token_counts, op5_packing, op7_secrets, op8_toxicity]
 
 QUERIES = {f.__name__: f for f in REGISTERED}
 ORACLE_SQL: dict[str, str] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -324,10 +325,19 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {f.__name__: f for f in REGISTERED}
     if llm is not None:
-        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+        found |= {n: _importable(f) for n, f in (llm.QUERIES | {"pipeline": corpus_pipeline.run}).items()}
     return found
 
 
+def _importable(query):
+    """The query with this folder on the Python workers' path, for sessions started elsewhere."""
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parent))
+        return query(spark, sf_dir)
+    return run
+
+
 def oracle_sql() -> dict[str, str]:
     found = oracle.statements()
     if llm is not None:

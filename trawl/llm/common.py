@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ def remainder(key: str, modulus: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % modulus
 
 
-def slices(texts: list[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
+def slices(texts: Iterable[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
     """Consecutive texts of ``chars`` characters or little more in total; null becomes empty."""
     part, held = [], 0
     for text in texts:
@@ -36,7 +36,7 @@ def slices(texts: list[str | None], chars: int = SLICE_CHARS) -> Iterator[list[s
 
 
 def text_function(compute: Callable[[list[str]], list], schema: str, names: list[str],
-                  types: list[pa.DataType]):
+                  types: list[pa.DataType], chars: int = SLICE_CHARS):
     """A function of a text column that returns a struct, run on bounded slices of Arrow batches.
 
     ``compute`` gets a list of texts and returns one sequence of values per field.
@@ -45,7 +45,7 @@ def text_function(compute: Callable[[list[str]], list], schema: str, names: list
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             done = []
-            for part in arrow_slices(batch):
+            for part in arrow_slices(batch, chars):
                 fields = [pa.array(v, t) for v, t in zip(compute(part), types, strict=True)]
                 done.append(pa.StructArray.from_arrays(fields, names=names))
             if done:
@@ -55,12 +55,12 @@ def text_function(compute: Callable[[list[str]], list], schema: str, names: list
     return F.arrow_udf(run, schema)
 
 
-def arrow_slices(batch: pa.Array, rows: int = 256) -> Iterator[list[str]]:
+def arrow_slices(batch: pa.Array, chars: int = SLICE_CHARS, rows: int = 256) -> Iterator[list[str]]:
     """``slices`` of a string array that turns only a few rows at a time into Python strings."""
     def values():
         for at in range(0, len(batch), rows):
             yield from batch.slice(at, rows).to_pylist()
-    return slices(values())
+    return slices(values(), chars)
 
 
 # --- words as arrays of bytes ---------------------------------------------------------------

@@ -1,20 +1,47 @@
-"""A training corpus from raw documents, in stages."""
+"""A training corpus from raw documents, in five stages."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from trawl.llm import toxicity as tox
 from trawl.llm.common import read
+from trawl.llm.decontamination import decontaminate
+from trawl.llm.near_duplicates import without_near_duplicates
 from trawl.llm.packing import pack
+from trawl.llm.secrets import redact
 from trawl.sources.shared import write_shared
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine, fitted to ``labels``, does not predict as toxic."""
+    model = tox.train_on_folds(docs, read(spark, sf_dir, "labels"))
+    return tox.score(docs.select(F.struct("*").alias("row"), F.col("text")), model).where("predicted = 0").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near duplicates (five words, 80 per cent), and all others."""
+    return without_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without ten consecutive words of a text in ``benchmark``."""
+    return decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced by the kind of secret."""
+    return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents that are left, in sequences of 4096 ids."""
     return pack(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("secrets", secrets), ("packing", packing)]
 
 #: Toxicity is a trained model, so SQL cannot give these rows.
 ORACLE_SQL = None

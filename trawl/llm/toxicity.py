@@ -128,17 +128,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, slot: np.ndarray, n_terms: i
 
 
 def calibrate(model: FactorizationMachine, rows: list[np.ndarray], labels: np.ndarray, odds: float) -> None:
-    """Logistic regression of the label on the sum, with rows weighted as they occur among all labelled rows."""
+    """Logistic regression of the label on the sum, with rows weighted as they occur among all labelled rows.
+
+    The targets are a little inside 0 and 1, so that few rows, or rows of one label, give
+    no certainty.
+    """
     text = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     z = model.raw(text, np.concatenate(rows) if len(text) else np.zeros(0, np.int64), len(rows))
+    n_toxic = labels.sum()
+    target = np.where(labels == 1, (n_toxic + 1) / (n_toxic + 2), 1 / (len(labels) - n_toxic + 2))
     weight = np.where(labels == 1, odds, 1.0)
-    center, spread = z.mean(), z.std() + 1e-9
+    weight /= weight.sum()
+    center, spread = z.mean(), max(z.std(), 1e-6)
     x = (z - center) / spread
     a, b = 1.0, 0.0
     for _ in range(500):
-        g = weight * (sigmoid(a * x + b) - labels) / weight.sum()
-        h = weight / weight.sum()
-        a -= 2 * ((g * x).sum() + 1e-4 * a) / (h * x * x).sum()
+        g = weight * (sigmoid(a * x + b) - target)
+        a -= 2 * ((g * x).sum() + 1e-4 * a) / ((weight * x * x).sum() + 1e-3)
         b -= 2 * g.sum()
     a = max(a, 1e-3)
     model.scale, model.shift = a / spread, b - a * center / spread

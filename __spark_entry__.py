@@ -9,7 +9,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
@@ -36,13 +36,13 @@ BLOCK_DOCS = oracle.BLOCK_DOCS
 
 # --- inputs -------------------------------------------------------------------------------
 
-def _body(s, d, **kw):
+def _body(s, d, **cuts):
     """Index over ``documents``."""
-    return indexing.build_index(fx.documents(s, d), "text", min_df=fx.MIN_DF, **kw)
+    return indexing.build_index(fx.documents(s, d), "text", **cuts)
 
 
 def _page_body(s, d):
-    return indexing.build_index(fx.pages(s, d), "text", min_df=fx.MIN_DF)
+    return indexing.build_index(fx.pages(s, d), "text")
 
 
 def _title(s, d):
@@ -99,20 +99,20 @@ def query_vectors(s, d):
 # --- index --------------------------------------------------------------------------------
 
 def document_frequency(s, d):
-    return indexing.build_index(fx.documents(s, d), "text", min_df=0).term_stats.select("term", "df")
+    return _body(s, d).term_stats.select("term", "df")
 
 
 def collection_frequency(s, d):
-    return indexing.build_index(fx.documents(s, d), "text", min_df=0).term_stats.select("term", "term_total")
+    return _body(s, d).term_stats.select("term", "term_total")
 
 
 def rare_term_cut(s, d):
-    return _body(s, d).postings
+    return _body(s, d, min_df=fx.MIN_DF).postings
 
 
 def hot_term_cut(s, d):
     """Known terms with the number of postings that are left to them."""
-    index = _body(s, d, max_df=HOT_DF)
+    index = _body(s, d, min_df=fx.MIN_DF, max_df=HOT_DF)
     posted = index.postings.groupBy("term").agg(F.count("*").alias("n_postings"))
     return (index.term_stats.select("term", "df").join(posted, "term", "left")
             .select("term", "df", F.coalesce("n_postings", F.lit(0)).alias("n_postings")))
@@ -136,8 +136,15 @@ def posting_scan(s, d):
     return blocks.select("term", "block", F.size("postings").alias("n_postings"), listed.alias("postings"))
 
 
+def posting_scan_ordered(s, d):
+    """All postings of the title index in term and document order, with the place of each in the order."""
+    scan = indexing.scan_postings(_title(s, d)).withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("term").orderBy("_at"))
+    return scan.select("term", "doc_id", "tf", place.alias("place"))
+
+
 def index_add_docs(s, d):
-    index = indexing.build_index(fx.documents(s, d), "text", min_df=0)
+    index = _body(s, d)
     return indexing.add_docs(index, fx.tokenised_benchmark(s, d)).term_stats
 
 
@@ -166,6 +173,12 @@ def pagerank_10(s, d):
     return _rounded(_pagerank(s, d), "pagerank")
 
 
+def pagerank_out_of_corpus(s, d):
+    """Links to pages outside the corpus take part, their targets are not returned."""
+    found, docs = fx.links_out_of_corpus(s, d)
+    return _rounded(links.pagerank(links.link_edges(found), docs), "pagerank")
+
+
 # --- signals ------------------------------------------------------------------------------
 
 def pageviews_read(s, d):
@@ -191,6 +204,11 @@ def title_map(s, d):
     return _titles(s, d)
 
 
+def title_map_repeated(s, d):
+    """One title for each id of many."""
+    return signals.title_map(fx.repeated_titles(s, d))
+
+
 def signal_max(s, d):
     return signals.signal_max(_pageviews(s, d), "views")
 
@@ -233,10 +251,24 @@ def search_combined_no_signals(s, d):
     return _rounded(found, "score").drop("title")
 
 
+def search_combined_large_batch(s, d):
+    """The combined ranker by shuffle, as for a batch that is too large to broadcast."""
+    found = ranking.search(
+        _page_body(s, d), _title(s, d), _anchor(s, d), fx.queries(s, d), number_of_docs(fx.pages(s, d)),
+        _pagerank(s, d), _pageviews(s, d), _titles(s, d), broadcast_bytes=0)
+    return _rounded(found, "score")
+
+
+def empty_queries(s, d):
+    """Body search with queries that have no terms, only stopwords, or an unknown term."""
+    docs = fx.documents(s, d)
+    found = ranking.search_body(_body(s, d), fx.odd_queries(s, d), number_of_docs(docs))
+    return _rounded(found, "score").drop("title")
+
+
 def search_bm25(s, d):
-    """All matches, unranked, as the scorer gives them."""
     found = ranking.search_bm25(_body(s, d), fx.queries(s, d))
-    return _rounded(found, "score").drop("title", "rank")
+    return _rounded(found, "score").drop("title")
 
 
 def title_resolve(s, d):
@@ -298,22 +330,35 @@ def signals_save_load(s, d):
 def qrels_json(s, d):
     path = shared_path(s, "qrels")
     queries = fx.queries(s, d)
-    judged = fx.qrels(s, d).join(queries, "query_id")
-    judged.select(F.to_json(F.create_map("query", F.array(F.col("doc_id").cast("string"))))).write.text(path)
+    judged = (fx.qrels(s, d).join(queries, "query_id").groupBy("query")
+              .agg(F.sort_array(F.collect_set(F.col("doc_id").cast("string"))).alias("ids")))
+    judged.select(F.to_json(F.create_map("query", "ids"))).write.text(path)
     return readers.match_qrels(readers.read_qrels(s, path, one_object_per_line=True), queries)
 
 
+def qrels_json_object(s, d):
+    """The judgement file as it is published: one object of all queries, each with all its ids."""
+    path = shared_path(s, "qrels-object")
+    queries = fx.queries(s, d)
+    judged = (fx.qrels(s, d).join(queries, "query_id").groupBy("query")
+              .agg(F.sort_array(F.collect_set(F.col("doc_id").cast("string"))).alias("ids")))
+    whole = judged.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("query", "ids")))).alias("value"))
+    whole.write.text(path)
+    return readers.match_qrels(readers.read_qrels(s, path), queries)
+
+
 REGISTERED = [
     tokenize_docs, stopword_filter, term_counts, query_vectors,
     document_frequency, collection_frequency, rare_term_cut, hot_term_cut, title_index, anchor_index,
-    posting_lookup, posting_scan, index_add_docs,
-    corpus_links, link_edges, link_vertices, pagerank_3, pagerank_10,
-    pageviews_read, pageviews_parse, pageviews_map, pageviews_map_max, title_map, signal_max,
+    posting_lookup, posting_scan, posting_scan_ordered, index_add_docs,
+    corpus_links, link_edges, link_vertices, pagerank_3, pagerank_10, pagerank_out_of_corpus,
+    pageviews_read, pageviews_parse, pageviews_map, pageviews_map_max, title_map, title_map_repeated, signal_max,
     pagerank_lookup, pageview_lookup,
-    search_body, search_title, search_anchor, search_combined, search_combined_no_signals, search_bm25,
+    search_body, search_title, search_anchor, search_combined, search_combined_no_signals,
+    search_combined_large_batch, empty_queries, search_bm25,
     title_resolve,
     precision_at_5, recall_at_30, f1_at_30, average_precision_40, results_quality, evaluate,
-    index_save_load, signals_save_load, qrels_json,
+    index_save_load, signals_save_load, qrels_json, qrels_json_object,
 ]
 
 

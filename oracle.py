@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
-from trawl.fixtures import LINK_PATTERN, MARKUP_PATTERN, MIN_DF, TITLE_PATTERN
-from trawl.functions.text import STOPWORDS, TOKEN_PATTERN
+# Rules in this file's own words: nothing is imported from the package, so a wrong value there shows.
+MIN_DF = 5
+TITLE_PATTERN = "<title>([^<]*)</title>"
+LINK_PATTERN = '<a href="([^"]*)">([^<]*)</a>'
+MARKUP_PATTERN = "(?is)<(?:script.*?</script|style.*?</style|!--.*?--|[^>]*)>"
+# A token begins with #, @ or a word character; 2 to 24 word characters follow, each with ' or - before it or not.
+WORD = r"[\p{L}\p{N}_]"
+TOKEN_PATTERN = f"(?:[#@]|{WORD})(?:'{WORD}|-{WORD}|{WORD}){{2,24}}"
+# Common English words, then words common in the corpus.
+STOPWORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its
+itself they them their theirs themselves what which who whom this that these those am is are was were be been being have
+has had having do does did doing a an the and but if or because as until while of at by for with about against between
+into through during before after above below to from up down in out on off over under again further then once here there
+when where why how all any both each few more most other some such no nor not only own same so than too very s t can
+will just don should now d ll m o re ve y ain aren couldn didn doesn hadn hasn haven isn ma mightn mustn needn shan
+shouldn wasn weren won wouldn don't should've aren't couldn't didn't doesn't hadn't hasn't haven't isn't mightn't
+mustn't needn't shan't shouldn't wasn't weren't won't wouldn't you're you've you'll you'd she's it's that'll he'd he'll
+he's i'd i'll i'm i've it'd it'll she'd she'll they'd they'll they're they've we'd we'll we're we've
+category references also external links may first see history people one two part thumb including second following many
+however would became""".split()
 
 HOT_DF = 100
 LOOKUP_TERMS = ["tion", "anth", "absentterm"]
 BLOCK_DOCS = 256
-MAX_DF = 2_000_000
 K = 100
 
 
@@ -52,15 +70,24 @@ pv_pairs AS (
   WHERE TRY_CAST(split_part(value, ' ', 1) AS BIGINT) IS NOT NULL
     AND TRY_CAST(split_part(value, ' ', 3) AS BIGINT) IS NOT NULL)"""
 VIEWS = f"{PAIRS},\nviews AS (SELECT id, CAST(sum(views) AS BIGINT) AS views FROM pv_pairs GROUP BY id)"
-QUERY_TERMS = f"""q_tokens AS (
-  SELECT item_id AS query_id, list_filter({_tokens('text')}, lambda t: t NOT IN ({STOP_LIST})) AS tokens
-  FROM benchmark),
-q_terms AS (
+Q_TERMS = """q_terms AS (
   SELECT query_id, CAST(max(q_len) AS INTEGER) AS q_len, term, CAST(count(*) AS INTEGER) AS q_tf
   FROM (SELECT query_id, greatest(1, len(list_distinct(tokens))) AS q_len, unnest(tokens) AS term FROM q_tokens)
   GROUP BY query_id, term)"""
 
 
+def _query_tokens(source: str) -> str:
+    return f"""q_tokens AS (
+  SELECT query_id, list_filter({_tokens('text')}, lambda t: t NOT IN ({STOP_LIST})) AS tokens
+  FROM {source})"""
+
+
+QUERY_TERMS = _query_tokens("(SELECT item_id AS query_id, text FROM benchmark)") + ",\n" + Q_TERMS
+ODD_TERMS = _query_tokens("""(SELECT item_id * 4 AS query_id, text FROM benchmark
+    UNION ALL SELECT item_id * 4 + 1, '' FROM benchmark UNION ALL SELECT item_id * 4 + 2, 'the of and' FROM benchmark
+    UNION ALL SELECT item_id * 4 + 3, 'zzzunknown ' || text FROM benchmark)""") + ",\n" + Q_TERMS
+
+
 def _counts(name: str, source: str, id_col: str = "id", text: str = "text") -> str:
     return f"""{name}_tf AS (
   SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf
@@ -68,16 +95,17 @@ def _counts(name: str, source: str, id_col: str = "id", text: str = "text") -> s
   WHERE term NOT IN ({STOP_LIST}) GROUP BY term, doc_id)"""
 
 
-def _index(name: str, source: str, id_col: str = "id", text: str = "text", min_df: int = 0, max_df: int = MAX_DF) -> str:
+def _index(name: str, source: str, id_col: str = "id", text: str = "text", min_df: int = 0, max_df: int | None = None) -> str:
     return f"""{_counts(name, source, id_col, text)},
 {name}_stats AS (
   SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS term_total FROM {name}_tf GROUP BY term HAVING count(*) > {min_df}),
 {name}_postings AS (
-  SELECT t.term, t.doc_id, t.tf FROM {name}_tf t JOIN {name}_stats s ON t.term = s.term WHERE s.df < {max_df})"""
+  SELECT t.term, t.doc_id, t.tf FROM {name}_tf t JOIN {name}_stats s ON t.term = s.term
+  WHERE {'true' if max_df is None else f's.df < {max_df}'})"""
 
 
-BODY = f"{DOCS},\n" + _index("body", "docs", min_df=MIN_DF)
-PAGE_BODY = _index("body", "page_docs", min_df=MIN_DF)
+BODY = f"{DOCS},\n" + _index("body", "docs")
+PAGE_BODY = _index("body", "page_docs")
 TITLE = _index("title", "page_docs", text="title")
 ANCHOR = _index("anchor", "links", id_col="dst")
 
@@ -148,11 +176,11 @@ blended AS (
         FROM {joins} LEFT JOIN ranks r ON r.id = c.doc_id LEFT JOIN views v ON v.id = c.doc_id), tops)"""
 
 
-def _ranks(iterations: int) -> str:
-    """The recurrence, one CTE per round."""
-    ctes = [LINKS, EDGES, """vertices AS (
+def _ranks(iterations: int, source: str = "true", page: str = "true") -> str:
+    """The recurrence, one CTE per round, over the links and pages with the given properties."""
+    ctes = [LINKS, f"edges AS (SELECT DISTINCT src, dst FROM links WHERE {source})", f"""vertices AS (
   SELECT id, coalesce(out, 0) AS out FROM (
-    SELECT src AS id FROM edges UNION SELECT dst FROM edges UNION SELECT page_id FROM pages)
+    SELECT src AS id FROM edges UNION SELECT dst FROM edges UNION SELECT page_id FROM pages WHERE {page})
   LEFT JOIN (SELECT src, count(*) AS out FROM edges GROUP BY src) ON src = id)""",
             "r0 AS MATERIALIZED (SELECT id, out, CAST(1 AS DOUBLE) AS rank FROM vertices)"]
     for i in range(1, iterations + 1):
@@ -162,7 +190,7 @@ def _ranks(iterations: int) -> str:
     SELECT dst, sum(rank / out) AS received FROM edges JOIN r{i - 1} ON id = src GROUP BY dst) ON dst = v.id)""")
     ctes.append(f"""ranks AS (
   SELECT id, rank * (SELECT count(*) / sum(rank) FROM r{iterations}) AS pagerank
-  FROM r{iterations} WHERE id IN (SELECT page_id FROM pages))""")
+  FROM r{iterations} WHERE id IN (SELECT page_id FROM pages WHERE {page}))""")
     return ",\n".join(ctes)
 
 
@@ -227,7 +255,7 @@ FROM (SELECT doc_id AS id, list_filter({_tokens('text')}, lambda t: t NOT IN ({S
         "query_vectors": _with(QUERY_TERMS) + "SELECT query_id, q_len, term, q_tf FROM q_terms",
         "document_frequency": plain + "SELECT term, df FROM body_stats",
         "collection_frequency": plain + "SELECT term, term_total FROM body_stats",
-        "rare_term_cut": body + tf.format("body"),
+        "rare_term_cut": _with(f"{DOCS},\n" + _index("body", "docs", min_df=MIN_DF)) + tf.format("body"),
         "hot_term_cut": _with(f"{DOCS},\n" + _index("body", "docs", min_df=MIN_DF, max_df=HOT_DF))
         + """SELECT s.term, s.df, count(p.doc_id) AS n_postings
 FROM body_stats s LEFT JOIN body_postings p ON s.term = p.term GROUP BY s.term, s.df""",
@@ -237,6 +265,8 @@ FROM body_stats s LEFT JOIN body_postings p ON s.term = p.term GROUP BY s.term,
         "posting_scan": body + f"""SELECT term, doc_id // {BLOCK_DOCS} AS block, CAST(count(*) AS INTEGER) AS n_postings,
   string_agg(doc_id || ':' || tf, ' ' ORDER BY doc_id) AS postings
 FROM body_postings GROUP BY term, doc_id // {BLOCK_DOCS}""",
+        "posting_scan_ordered": _with(PAGE_DOCS, TITLE) + """SELECT term, doc_id, tf,
+  CAST(row_number() OVER (PARTITION BY term ORDER BY doc_id) AS INTEGER) AS place FROM title_postings""",
         "index_add_docs": _with("docs AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT -1 - item_id, text FROM benchmark)",
                                 _index("body", "docs")) + "SELECT term, df, term_total FROM body_stats",
         "corpus_links": _with(RAW_LINKS) + "SELECT src, CAST('0x' || substr(md5(href), 1, 8) AS BIGINT) AS dst, text FROM raw_links",
@@ -244,11 +274,14 @@ FROM body_postings GROUP BY term, doc_id // {BLOCK_DOCS}""",
         "link_vertices": "SELECT DISTINCT page_id AS id, page_id AS title FROM pages",
         "pagerank_3": _with(_ranks(3)) + "SELECT id, round(pagerank, 6) AS pagerank FROM ranks",
         "pagerank_10": _with(_ranks(10)) + "SELECT id, round(pagerank, 6) AS pagerank FROM ranks",
+        "pagerank_out_of_corpus": _with(_ranks(10, "src % 5 <> 0", "page_id % 5 <> 0"))
+        + "SELECT id, round(pagerank, 6) AS pagerank FROM ranks",
         "pageviews_read": _with(PAIRS) + "SELECT id, views FROM pv_pairs",
         "pageviews_parse": _with(PAIRS) + "SELECT id, views FROM pv_pairs",
         "pageviews_map": _with(VIEWS) + "SELECT id, views FROM views",
         "pageviews_map_max": _with(PAIRS) + "SELECT id, max(views) AS views FROM pv_pairs GROUP BY id",
         "title_map": pages + "SELECT id, title FROM page_docs",
+        "title_map_repeated": pages + "SELECT id % 10 AS id, min(title) AS title FROM page_docs GROUP BY id % 10",
         "signal_max": _with(VIEWS) + "SELECT coalesce(max(views), 0) AS max_value FROM views",
         "pagerank_lookup": _with(_ranks(3)) + """SELECT event_id AS pos, user_id AS id, round(coalesce(pagerank, 0), 6) AS pagerank
 FROM events LEFT JOIN ranks ON id = user_id""",
@@ -259,11 +292,16 @@ FROM pages LEFT JOIN views ON id = page_id""",
         "search_anchor": _with(PAGE_DOCS, LINKS, ANCHOR, QUERY_TERMS, _binary("anchor"), _top("anchor_scores")) + _titled(),
         "search_combined": _with(_ranks(10), VIEWS, *all_indexes, ANCHOR, *scores, _blend(True), _top("blended"))
         + _titled(rounded=True),
+        "search_combined_large_batch": _with(_ranks(10), VIEWS, *all_indexes, ANCHOR, *scores, _blend(True), _top("blended"))
+        + _titled(rounded=True),
+        "empty_queries": _with(BODY, ODD_TERMS, _cosine("docs"), _top("body_scores")) + run,
         "search_combined_no_signals": _with(LINKS, *all_indexes, ANCHOR, *scores, _blend(False), _top("blended")) + run,
-        "search_bm25": _with(BODY, QUERY_TERMS) + f""", n AS (SELECT count(*) AS n FROM body_stats WHERE df < {MAX_DF})
-SELECT q.query_id, p.doc_id, round(sum(
-  q.q_tf * ln(1 + (n.n - s.df + 0.5) / (s.df + 0.5)) * p.tf * 2.5 / (p.tf + 1.5)), 6) AS score
-FROM q_terms q JOIN body_stats s USING (term) JOIN body_postings p USING (term), n GROUP BY q.query_id, p.doc_id""",
+        "search_bm25": _with(BODY, QUERY_TERMS, """n AS (SELECT count(*) AS n FROM body_stats),
+gains AS (
+  SELECT q.query_id, p.doc_id, sum(
+    q.q_tf * ln(1 + (n.n - s.df + 0.5) / (s.df + 0.5)) * p.tf * 2.5 / (p.tf + 1.5)) AS score
+  FROM q_terms q JOIN body_stats s USING (term) JOIN body_postings p USING (term), n
+  GROUP BY q.query_id, p.doc_id)""", _top("gains")) + run,
         "title_resolve": pages + """SELECT doc_id, coalesce(p.title, CAST(doc_id AS VARCHAR)) AS title
 FROM documents LEFT JOIN page_docs p ON p.id = doc_id""",
         "precision_at_5": metric("precision"),
@@ -276,4 +314,6 @@ FROM documents LEFT JOIN page_docs p ON p.id = doc_id""",
         "signals_save_load": _with(_ranks(3), VIEWS, PAGE_DOCS) + """SELECT id, title, round(pagerank, 6) AS pagerank, views
 FROM page_docs LEFT JOIN ranks USING (id) LEFT JOIN views USING (id)""",
         "qrels_json": _with(DOCS, _counts("body", "docs"), QUERY_TERMS, QRELS) + "SELECT query_id, doc_id FROM qrels",
+        "qrels_json_object": _with(DOCS, _counts("body", "docs"), QUERY_TERMS, QRELS)
+        + "SELECT query_id, doc_id FROM qrels",
     }

@@ -1,11 +1,12 @@
-"""Plain-Python scoring of a small corpus, one query and one document at a time."""
+"""Scores of one document for one query, straight from their formulas."""
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 from trawl.functions.text import STOPWORDS
 
+# Fixed value: 3 to 25 word characters, inner ' or -, optional leading # or @.
 WORDS = re.compile(r"[\#\@\w](['\-]?\w){2,24}", re.UNICODE)
 
 
@@ -13,59 +14,62 @@ def words(text):
     return [m.group() for m in WORDS.finditer((text or "").lower()) if m.group() not in STOPWORDS]
 
 
-class Lists:
-    """df and posting lists of ``(doc_id, text)`` pairs after both cuts."""
-
-    def __init__(self, docs, min_df=0, max_df=2_000_000):
-        lists = defaultdict(list)
-        for doc, text in docs:
-            for term, tf in Counter(words(text)).items():
-                lists[term].append((doc, tf))
-        self.df = {t: len(p) for t, p in lists.items() if len(p) > min_df}
-        self.lists = {t: sorted(lists[t]) for t, n in self.df.items() if n < max_df}
-
-
-def cosine(lists, query, n_docs):
-    idf = lambda t: math.log10((n_docs + 1) / (lists.df[t] + 1))
-    weights = {t: n * idf(t) for t, n in Counter(words(query)).items() if t in lists.df}
-    norm = math.sqrt(sum(w * w for w in weights.values())) or 1.0
-    dots, squares = Counter(), Counter()
-    for t, w in weights.items():
-        for doc, tf in lists.lists.get(t, []):
-            dots[doc] += tf * idf(t) * w
-            squares[doc] += (tf * idf(t)) ** 2
-    return {d: x / ((math.sqrt(squares[d]) or 1.0) * norm) for d, x in dots.items()}
-
-
-def binary(lists, query):
-    return dict(Counter(d for t in set(words(query)) for d, _ in lists.lists.get(t, [])))
-
-
-def bm25(lists, query, k1=1.5):
-    n, scores = len(lists.lists), Counter()
-    for t in words(query):
-        for doc, tf in lists.lists.get(t, []):
-            df = lists.df[t]
-            scores[doc] += math.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * (k1 + 1) / (tf + k1)
-    return dict(scores)
-
-
-def blend(body, title, anchor, query, n_docs, ranks, views):
-    parts = [cosine(body, query, n_docs), binary(title, query), binary(anchor, query)]
-    length = max(1, len(set(words(query))))
-    top_rank, top_views = max(ranks.values(), default=0), max(views.values(), default=0)
-    weights = [0.6, 0.2, 0.1, 0.05 if top_rank else 0, 0.05 if top_views else 0]
-    weights = [w / sum(weights) for w in weights]
-    scores = {}
-    for doc in set().union(*parts):
-        rank, seen = ranks.get(doc, 0), views.get(doc, 0)
-        values = [parts[0].get(doc, 0), parts[1].get(doc, 0) / length, parts[2].get(doc, 0) / length,
-                  rank / top_rank if top_rank and rank > 0 else 0,
-                  math.log1p(seen) / math.log1p(top_views) if top_views and seen > 0 else 0]
-        scores[doc] = sum(w * v for w, v in zip(weights, values))
-    return scores
-
-
-def best(scores, k=100):
-    order = sorted(scores, key=lambda d: (-math.floor(scores[d] * 1e9 + 0.5), d))
+class Corpus:
+    """Term counts of each document, and which terms an index with the given cuts knows and posts."""
+
+    def __init__(self, docs, min_df=0, max_df=math.inf):
+        self.counts = {doc: Counter(words(text)) for doc, text in docs}
+        every = Counter(t for counts in self.counts.values() for t in counts)
+        self.df = {t: n for t, n in every.items() if n > min_df}
+        self.posted = {t for t, n in self.df.items() if n < max_df}
+
+    def tf(self, doc, term):
+        return self.counts.get(doc, {}).get(term, 0) if term in self.posted else 0
+
+    def postings(self, term):
+        return [(doc, self.tf(doc, term)) for doc in sorted(self.counts) if self.tf(doc, term)]
+
+    def matches(self, query):
+        """Documents that hold a posted term of the query."""
+        return [d for d in self.counts if any(self.tf(d, t) for t in set(words(query)))]
+
+
+def cosine(corpus, query, doc, n_docs):
+    """u·v / (|u||v|) over the query's known terms; a vector without length counts as of length 1."""
+    terms = sorted(set(words(query)) & corpus.df.keys())
+    idf = [math.log10((n_docs + 1) / (corpus.df[t] + 1)) for t in terms]
+    u = [words(query).count(t) * i for t, i in zip(terms, idf)]
+    v = [corpus.tf(doc, t) * i for t, i in zip(terms, idf)]
+    return math.sumprod(u, v) / ((math.hypot(*u) or 1) * (math.hypot(*v) or 1))
+
+
+def binary(corpus, query, doc):
+    return sum(corpus.tf(doc, t) > 0 for t in set(words(query)))
+
+
+def bm25(corpus, query, doc, k1=1.5):
+    n = len(corpus.posted)
+
+    def gain(term):
+        df, tf = corpus.df[term], corpus.tf(doc, term)
+        return math.log((n + 1) / (df + 0.5)) * (k1 + 1) / (1 + k1 / tf) if tf else 0
+    return math.fsum(gain(t) for t in words(query) if t in corpus.posted)
+
+
+def blend(body, title, anchor, rank, views, length, top_rank, top_views):
+    """Weighted mean of a document's five values; a signal without a maximum has no weight."""
+    parts = [(60, body), (20, title / length), (10, anchor / length)]
+    if top_rank:
+        parts.append((5, max(rank, 0) / top_rank))
+    if top_views:
+        parts.append((5, math.log(1 + max(views, 0), 1 + top_views)))
+    return math.fsum(w * x for w, x in parts) / sum(w for w, _ in parts)
+
+
+def scores(corpus, query, score):
+    return {doc: score(doc) for doc in corpus.matches(query)}
+
+
+def best(found, k=100):
+    order = sorted(found, key=lambda d: (-math.floor(found[d] * 1e9 + 0.5), d))
     return [(i + 1, d) for i, d in enumerate(order[:k])]

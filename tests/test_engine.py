@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from test_ranking import ASKED, SCHEMA, make_corpus
@@ -5,7 +6,7 @@ from trawl import Engine, ask
 from trawl.operators import links, metrics, ranking, signals
 from trawl.operators.indexing import build_anchor_index, build_index
 from trawl.sources.corpus import read_corpus
-from trawl.sources.shared import shared_path
+from trawl.sources.shared import run_folder, shared_folder, shared_path
 
 
 def rows(df):
@@ -35,7 +36,8 @@ def test_build_load_and_search(spark, tmp_path):
     assert rows(engine.search_bm25(queries, k=5)) == rows(ranking.search_bm25(body, queries, k=5, titles=titles))
 
     qrels = spark.createDataFrame([(0, 1), (0, 2), (1, 3)], "query_id bigint, doc_id bigint")
-    assert sorted(engine.evaluate(queries, qrels).collect()) == sorted(metrics.evaluate(queries, unsaved, qrels).collect())
+    measured, seconds = engine.evaluate(queries, qrels)
+    assert sorted(measured.collect()) == sorted(metrics.evaluate(queries, unsaved, qrels).collect()) and seconds > 0
     ids = spark.createDataFrame([(0, 1), (1, 999)], "pos bigint, id bigint")
     assert [r.pagerank for r in engine.lookup_pagerank(ids).collect()][1] == 0.0
     assert [r.views for r in engine.lookup_pageviews(ids).collect()] == [0, 0]
@@ -44,4 +46,31 @@ def test_build_load_and_search(spark, tmp_path):
 def test_shared_paths_follow_the_setting(spark):
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     first, second = shared_path(spark, "x"), shared_path(spark, "x")
-    assert first.startswith(named.rstrip("/")) and first != second
+    assert first.startswith(named.rstrip("/")) and first.startswith(run_folder(spark)) and first != second
+
+
+class Elsewhere:
+    """A session that names no folder."""
+
+    def __init__(self, master):
+        self.conf, self.sparkContext = {}, self
+        self.master, self.applicationId = master, f"app-{master}"
+
+    def getCheckpointDir(self):  # noqa: N802
+        return None
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(Elsewhere(master))
+    here = Elsewhere("local[2]")
+    assert shared_folder(here) == shared_folder(here)
+    assert here.conf == {}
+
+
+def test_nothing_is_cut_by_default(spark, tmp_path):
+    corpus = spark.createDataFrame(make_corpus(n=8), SCHEMA)
+    engine = Engine.build(corpus, str(tmp_path / "engine"), n_buckets=2, iterations=1)
+    terms = {r.term for r in build_index(corpus, "text").counted.select("term").distinct().collect()}
+    assert {r.term for r in engine.body.postings.select("term").collect()} == terms

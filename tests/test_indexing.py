@@ -29,13 +29,43 @@ def test_cuts(corpus):
     assert {t for t in stats(cut)} == {t for t, n in counts.items() if n > 15}
     assert {r.term for r in cut.postings.select("term").distinct().collect()} == {
         t for t, n in counts.items() if 15 < n < 30}
-    assert indexing.build_index(corpus, "text").min_df == 50 and indexing.build_index(corpus, "title").min_df == 0
+    hot = indexing.build_index(corpus, "text", max_df=30)
+    assert stats(hot) == stats(whole)
+    assert {r.term for r in hot.postings.select("term").distinct().collect()} == {t for t, n in counts.items() if n < 30}
+
+
+def test_nothing_is_cut_by_default(corpus):
+    index = indexing.build_index(corpus, "text")
+    assert (index.min_df, index.max_df) == (0, None)
+    assert rows(index.postings) == rows(index.counted)
+    assert {r.term for r in index.postings.select("term").collect()} == set(stats(index))
+
+
+def moved(df):
+    """Exchanges in the plan, with automatic broadcasts off."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_exchanges_of_postings(corpus):
+    """None without a cut or with a hot cut only; one with a rare cut; blocks add one."""
+    build = lambda **cuts: indexing.build_index(corpus, "text", **cuts)
+    assert moved(build().postings) == []
+    hot = moved(build(max_df=30).postings)  # of statistics, one row per term and task
+    assert len(hot) == 1 and "hashpartitioning(term" in hot[0]
+    assert len([m for m in moved(build(min_df=5).postings) if "_part" in m]) == 2  # both sides of the one join
+    assert len(moved(indexing.posting_blocks(build()))) == 1
 
 
 def test_statistics_follow_postings(corpus):
     index = indexing.build_index(corpus, "text", min_df=0)
-    mine = brute.Lists([(r.id, r.text) for r in corpus.collect()])
-    assert stats(index) == {t: (len(p), sum(tf for _, tf in p)) for t, p in mine.lists.items()}
+    mine = brute.Corpus([(r.id, r.text) for r in corpus.collect()])
+    assert stats(index) == {t: (n, sum(tf for _, tf in mine.postings(t))) for t, n in mine.df.items()}
 
 
 def test_anchor_texts_go_to_their_target(spark):
@@ -69,7 +99,8 @@ def test_spread_join_cut_bounds_the_split_keys(spark, monkeypatch):
 
 def test_posting_list_and_blocks(corpus):
     index = indexing.build_index(corpus, "text", min_df=0)
-    want = brute.Lists([(r.id, r.text) for r in corpus.collect()]).lists
+    mine = brute.Corpus([(r.id, r.text) for r in corpus.collect()])
+    want = {t: mine.postings(t) for t in mine.df}
     assert [tuple(r) for r in indexing.posting_list(index, "stone").collect()] == want["stone"]
     assert indexing.posting_list(index, "nothing").count() == 0
     blocks = indexing.posting_blocks(index, block_docs=16).orderBy("term", "block").collect()
@@ -125,6 +156,26 @@ def test_lookup_reads_one_bucket(spark, corpus, tmp_path):
     assert "xxhash64" not in plan
 
 
+def test_broken_off_save_is_not_loaded(spark, corpus, tmp_path, monkeypatch):
+    path, index = str(tmp_path / "i"), indexing.build_index(corpus, "text")
+    store.save_index(index, path, n_buckets=2)
+    with monkeypatch.context() as m:
+        m.setattr(store, "accumulate", None)
+        with pytest.raises(TypeError):
+            store.save_index(index, path, n_buckets=2, mode="overwrite")
+    assert store.load_index(spark, path, missing_ok=True) is None
+    store.save_index(index, path, n_buckets=2, mode="overwrite")
+    assert rows(store.load_index(spark, path).postings) == rows(index.postings)
+
+
+def test_blocks_of_large_and_negative_ids(spark):
+    top = 2 ** 60
+    docs = [(d, ["cat"]) for d in (-9, -8, -1, 0, 7, 8, top - 1, top, top + 7, top + 8)]
+    index = indexing.index_of_tokens(spark.createDataFrame(docs, "doc_id bigint, tokens array<string>"))
+    for r in indexing.posting_blocks(index, block_docs=8).collect():
+        assert {p.doc_id // 8 for p in r.postings} == {r.block}
+
+
 def test_load_fallback_and_missing(spark, corpus, tmp_path):
     store.save_index(indexing.build_index(corpus, "title"), str(tmp_path / "second"), n_buckets=2)
     first, second = str(tmp_path / "first"), str(tmp_path / "second")

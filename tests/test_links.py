@@ -59,6 +59,13 @@ def test_hub_source_hub_target_and_strangers(spark, monkeypatch, split):
     assert math.isclose(sum(everything.values()), len(everything), rel_tol=1e-12)
 
 
+def test_links_without_an_end_do_not_count(spark):
+    edges = [(1, 2), (2, 1), (1, None), (None, 2)]
+    assert run(spark, edges, [1, 2], 5) == {1: 1.0, 2: 1.0}
+    table = spark.createDataFrame([(a, b, "t") for a, b in edges], "src bigint, dst bigint, text string")
+    assert sorted(map(tuple, links.link_edges(table).collect())) == [(1, 2), (2, 1)]
+
+
 def test_no_edges(spark):
     close(run(spark, [], [1, 2], 3), {1: 1.0, 2: 1.0})
 

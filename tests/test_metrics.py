@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trawl.functions.scoring import round3
 from trawl.operators import metrics
 
-# Judged ids, returned ids, cut-off and value.
+# Judged ids, returned ids, cut-off and value.
 GOLDEN = [
     ("precision", range(10), [1, 2, 3], 2, 1.0),
     ("recall", range(10), [10, 5, 3], 2, 0.1),
@@ -47,12 +47,10 @@ def test_golden(spark, metric, k):
 
 
 def by_hand(judged, found, k=40):
-    judged, hits, total = set(judged), 0, []
-    for i, d in enumerate(found[:k]):
-        if d in judged:
-            hits += 1
-            total.append(hits / (i + 1))
-    return round(sum(total) / len(total), 3) if total else 0.0
+    """The i-th hit at rank r counts i / r; their mean as an exact fraction, rounded."""
+    ranks = [r for r, d in enumerate(found, 1) if r <= k and d in judged]
+    mean = sum(Fraction(i, r) for i, r in enumerate(ranks, 1)) / max(1, len(ranks))
+    return round(float(mean), 3)
 
 
 def test_average_precision_divides_by_hits_found(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import brute
 from trawl.operators import joins, ranking
-from trawl.operators.indexing import build_anchor_index, build_index
+from trawl.operators.indexing import build_anchor_index, build_index, posting_lists
 from trawl.operators.links import links_of
 
 VOCABULARY = [f"word{i}" for i in range(30)] + ["stone", "henge", "fire", "london", "don't", "x" * 40]
@@ -47,9 +47,27 @@ def asked(spark):
 
 def lists(rows, column, **cuts):
     if column == "anchor":
-        return brute.Lists([(d, " ".join(t or "" for x, t in links if x == d))
-                            for links in [[a for r in rows for a in (r[3] or [])]] for d in {x for x, _ in links}])
-    return brute.Lists([(r[0], r[{"title": 1, "text": 2}[column]]) for r in rows], **cuts)
+        return brute.Corpus([(d, " ".join(t or "" for x, t in links if x == d))
+                             for links in [[a for r in rows for a in (r[3] or [])]] for d in {x for x, _ in links}])
+    return brute.Corpus([(r[0], r[{"title": 1, "text": 2}[column]]) for r in rows], **cuts)
+
+
+def cosines(corpus, n_docs=62):
+    return {i: brute.scores(corpus, q, lambda d, q=q: brute.cosine(corpus, q, d, n_docs)) for i, q in enumerate(ASKED)}
+
+
+def binaries(corpus):
+    return {i: brute.scores(corpus, q, lambda d, q=q: brute.binary(corpus, q, d)) for i, q in enumerate(ASKED)}
+
+
+def blends(body, title, anchor, ranks, views, n_docs=62):
+    tops = max(ranks.values(), default=0), max(views.values(), default=0)
+
+    def of(query, doc):
+        return brute.blend(brute.cosine(body, query, doc, n_docs), brute.binary(title, query, doc),
+                           brute.binary(anchor, query, doc), ranks.get(doc, 0), views.get(doc, 0),
+                           max(1, len(set(brute.words(query)))), *tops)
+    return {i: {d: of(q, d) for c in (body, title, anchor) for d in c.matches(q)} for i, q in enumerate(ASKED)}
 
 
 def check(found, want, k=100):
@@ -79,28 +97,28 @@ def test_body(corpus, rows, asked, way, cuts):
     index = build_index(corpus, "text", **({"min_df": 0} | cuts))
     found = ranking.search_body(index, asked, 62, **way)
     mine = lists(rows, "text", **cuts)
-    check(found, {i: brute.cosine(mine, q, 62) for i, q in enumerate(ASKED)})
+    check(found, cosines(mine))
 
 
 def test_body_by_shuffle_without_split(corpus, rows, asked):
     found = ranking.search_body(build_index(corpus, "text", min_df=0), asked, 62, broadcast_bytes=0)
-    check(found, {i: brute.cosine(lists(rows, "text"), q, 62) for i, q in enumerate(ASKED)})
+    check(found, cosines(lists(rows, "text")))
 
 
 def test_title_and_anchor(corpus, rows, asked, way):
     title, anchor = build_index(corpus, "title"), build_anchor_index(links_of(corpus))
     check(ranking.search_title(title, asked, **way),
-          {i: brute.binary(lists(rows, "title"), q) for i, q in enumerate(ASKED)})
+          binaries(lists(rows, "title")))
     check(ranking.search_anchor(anchor, asked, **way),
-          {i: brute.binary(lists(rows, "anchor"), q) for i, q in enumerate(ASKED)})
+          binaries(lists(rows, "anchor")))
 
 
 def test_bm25(corpus, rows, asked, way, max_df=20):
     index = build_index(corpus, "text", min_df=0, max_df=max_df)
     mine = lists(rows, "text", max_df=max_df)
-    want = {i: brute.bm25(mine, q) for i, q in enumerate(ASKED)}
-    check(ranking.search_bm25(index, asked, k=100, **way), want)
-    unranked = ranking.search_bm25(index, asked, **way)
+    want = {i: brute.scores(mine, q, lambda d, q=q: brute.bm25(mine, q, d)) for i, q in enumerate(ASKED)}
+    check(ranking.search_bm25(index, asked, **way), want)
+    unranked = ranking.search_bm25(index, asked, k=None, **way)
     assert unranked.count() == sum(map(len, want.values())) and unranked.where("rank is not null").count() == 0
 
 
@@ -111,8 +129,7 @@ def check_combined(spark, corpus, rows, asked, ranks, views, **way):
                   "pageviews": spark.createDataFrame(list(views.items()), "id bigint, views bigint")}
     found = ranking.search(build_index(corpus, "text", min_df=0), build_index(corpus, "title"),
                            build_anchor_index(links_of(corpus)), asked, 62, **tables, k=10, **way)
-    args = lists(rows, "text"), lists(rows, "title"), lists(rows, "anchor")
-    check(found, {i: brute.blend(*args, q, 62, ranks or {}, views or {}) for i, q in enumerate(ASKED)}, k=10)
+    check(found, blends(lists(rows, "text"), lists(rows, "title"), lists(rows, "anchor"), ranks or {}, views or {}), k=10)
 
 
 def test_combined(spark, corpus, rows, asked, way):
@@ -128,8 +145,7 @@ def test_absent_signals_leave_their_weight_to_the_others(spark, corpus, rows, as
 def test_no_anchor_index(corpus, rows, asked):
     assert ranking.search_anchor(None, asked).count() == 0
     found = ranking.search(build_index(corpus, "text", min_df=0), build_index(corpus, "title"), None, asked, 62)
-    args = lists(rows, "text"), lists(rows, "title"), brute.Lists([])
-    check(found, {i: brute.blend(*args, q, 62, {}, {}) for i, q in enumerate(ASKED)})
+    check(found, blends(lists(rows, "text"), lists(rows, "title"), brute.Corpus([]), {}, {}))
 
 
 def test_batch_equals_single_queries(spark, corpus, asked):
@@ -184,10 +200,29 @@ def test_plan_exchanges_postings_not_pairs(corpus, asked):
     assert not [line for line in plan.splitlines() if "hashpartitioning(query_id" in line and "doc_id" in line]
 
 
-def test_documents_are_tokenised_once(corpus, asked):
-    """Statistics and scores read one exchange; so do the two sides of the cut."""
-    index = build_index(corpus, "text", min_df=2)
-    for found in (ranking.search_body(index, asked, 62), index.postings):
-        found.collect()
-        final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        assert "ReusedExchange" in final
+def text_scans(df):
+    """Scans of the corpus text in the final plan, those behind a reused exchange not counted."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return final.count("text#") and sum("FileScan parquet" in line and "text:string" in line for line in final.splitlines())
+
+
+def test_documents_are_tokenised_once(spark, corpus, asked, tmp_path):
+    """Statistics and scores read one exchange, or a written table of counted terms; no small-input spreading here."""
+    corpus.write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    assert text_scans(ranking.search_body(build_index(stored, "text"), asked, 62)) == 1
+    # What bm25 reads is the table that was written.
+    assert text_scans(ranking.search_bm25(build_index(stored, "text"), asked)) == 0
+    assert text_scans(posting_lists(build_index(stored, "text"), ["stone"])) == 1
+    assert text_scans(build_index(stored, "text", min_df=2).postings) == 0
+
+
+def test_hot_documents_by_shuffle(spark, corpus, rows, asked, monkeypatch):
+    """Signals and titles come by look-ups that split a document in many results."""
+    monkeypatch.setattr(joins.spread_join, "__defaults__", ("inner", 2))
+    titles = spark.createDataFrame([(i, f"T{i}") for i in range(0, 60, 2)], "id bigint, title string")
+    ranks, views = {i: 1.5 / (i + 1) for i in range(0, 60, 2)}, {i: i * i for i in range(0, 60, 3)}
+    check_combined(spark, corpus, rows, asked, ranks, views, broadcast_bytes=0)
+    found = ranking.search_body(build_index(corpus, "text"), asked, 62, titles=titles)
+    assert all(r.title == (f"T{r.doc_id}" if r.doc_id < 60 and r.doc_id % 2 == 0 else str(r.doc_id)) for r in found.collect())

@@ -54,7 +54,7 @@ def test_lookups_keep_order_and_repeats(spark):
 
 
 def test_title_map_has_one_row_per_id(spark):
-    corpus = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "id bigint, title string")
+    corpus = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, None)], "id bigint, title string")
     assert sorted(map(tuple, signals.title_map(corpus).collect()), key=str) == [(1, "a"), (2, None)]
 
 
@@ -69,6 +69,17 @@ def test_judgements(spark, tmp_path):
     assert sorted(lines.collect()) == sorted(qrels.collect())
 
 
+def test_judgements_that_are_no_ids_are_dropped(spark, tmp_path):
+    (tmp_path / "q").write_text(json.dumps({"a": ["5", "x7", "", "6"]}))
+    assert sorted(r.doc_id for r in readers.read_qrels(spark, str(tmp_path / "q")).collect()) == [5, 6]
+
+
+def test_look_up_of_a_missing_id(spark):
+    ids = spark.createDataFrame([(0, None), (1, 2), (2, None)], "pos bigint, id bigint")
+    ranks = spark.createDataFrame([(2, 0.5), (None, 9.0)], "id bigint, pagerank double")
+    assert [r.pagerank for r in signals.lookup_pagerank(ids, ranks).collect()] == [0.0, 0.5, 0.0]
+
+
 def test_signal_round_trip(spark, tmp_path):
     ranks = spark.createDataFrame([(2, 0.5)], "id bigint, pagerank double")
     store.save_signals(str(tmp_path / "s"), pagerank=ranks)

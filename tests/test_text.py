@@ -1,15 +1,13 @@
-import re
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from brute import WORDS
 from trawl.functions.text import (CORPUS_STOPWORDS, ENGLISH_STOPWORDS, STOPWORDS, remove_stopwords,
                                   term_frequencies, tokenize)
 from trawl.operators.ranking import query_terms
 
-WORDS = re.compile(r"[\#\@\w](['\-]?\w){2,24}", re.UNICODE)
-
 
 def python_tokens(text):
     return [m.group() for m in WORDS.finditer(text.lower())]

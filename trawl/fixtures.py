@@ -9,7 +9,9 @@ from trawl.functions.text import term_frequencies, terms
 from trawl.operators.joins import spread_join, tokens_fit_broadcast
 from trawl.operators.ranking import query_terms
 from trawl.sources.corpus import balanced
+from trawl.sources.shared import write_shared
 
+# The rare-term cut of the two queries whose feature is a cut.
 MIN_DF = 5
 TITLE_PATTERN = "<title>([^<]*)</title>"
 LINK_PATTERN = '<a href="([^"]*)">([^<]*)</a>'
@@ -17,7 +19,7 @@ MARKUP_PATTERN = "(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A driver table, spread by ``key`` if it is given and the table is small."""
+    """A driver table, spread over all cores by ``key`` if it is given and few tasks would scan it."""
     read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return read if key is None else balanced(read, key)
 
@@ -46,6 +48,27 @@ def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("src", "a.href", "a.text")
 
 
+def links_out_of_corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Links of the corpus without every fifth page, to any page, and the ``(id)`` of the corpus."""
+    inside = F.col("src") % 5 != 0
+    docs = pages(spark, sf_dir).select("id").where(F.col("id") % 5 != 0)
+    return links(spark, sf_dir).where(inside), docs
+
+
+def repeated_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, title)`` with ten pages to an id."""
+    return pages(spark, sf_dir).select((F.col("id") % F.lit(10)).alias("id"), "title")
+
+
+def odd_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queries, and of each one that is empty, one of stopwords and one with an unknown term beside its own."""
+    asked = queries(spark, sf_dir)
+    shapes = [F.col("query"), F.lit(""), F.lit("the of and"), F.concat(F.lit("zzzunknown "), F.col("query"))]
+    odd = F.explode(F.array(*[F.struct((F.col("query_id") * 4 + n).alias("query_id"), q.alias("query"))
+                              for n, q in enumerate(shapes)])).alias("q")
+    return asked.select(odd).select("q.*")
+
+
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(src, dst, text)``; a link leads to the first page that carries the same address.
 
@@ -84,7 +107,8 @@ def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = term_frequencies(documents(spark, sf_dir), "id", "text")
     small = tokens_fit_broadcast(asked, "query")
     if small:
-        counted = counted.join(F.broadcast(wanted.select("term")), "term", "left_semi").repartition("doc_id")
+        counted = counted.join(F.broadcast(wanted.select("term")), "term", "left_semi")
+    counted = write_shared(counted, "judged-terms")
     known = counted.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")).join(wanted, "term")
     rarest = known.groupBy("query_id").agg(F.min(F.struct("df", "term")).alias("r")).select("query_id", "r.df", "r.term")
     if small:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.text import quoted, term_frequencies, terms, token_frequencies
-from trawl.operators.joins import spread_join
+from trawl.operators.joins import fits_broadcast, spread_join
+from trawl.sources.shared import write_shared
 
+# Cuts that a caller may ask for: body terms in so few or so many documents are of little use.
 BODY_MIN_DF = 50
 MAX_DF = 2_000_000
 BLOCK_DOCS = 65_536
@@ -22,14 +25,15 @@ class Index:
 
     ``counted`` holds ``(term, doc_id, tf)``, at least for every term that keeps its
     postings. Terms with ``df <= min_df`` are unknown to the index. Terms with
-    ``df >= max_df`` are known, with their statistics, but have no postings.
+    ``df >= max_df`` are known, with their statistics, but have no postings. By default
+    nothing is cut.
     ``stored_stats`` and ``n_buckets`` are set for an index loaded from files, whose
     ``counted`` is already cut and has the partition column ``bucket``.
     """
 
     counted: DataFrame
     min_df: int = 0
-    max_df: int = MAX_DF
+    max_df: int | None = None
     stored_stats: DataFrame | None = None
     n_buckets: int | None = None
 
@@ -58,22 +62,39 @@ class Index:
     @property
     def posted_terms(self) -> DataFrame:
         """Statistics of the terms that have postings."""
-        return self.term_stats.where(F.col("df") < self.max_df)
+        return self.term_stats.where(self.is_posted())
+
+    def is_posted(self) -> Column:
+        return F.lit(True) if self.max_df is None else F.col("df") < self.max_df
 
     @property
-    def postings(self) -> DataFrame:
-        """``(term, doc_id, tf)`` after both cuts."""
-        columns = self.counted.select("term", "doc_id", "tf")
+    def is_cut(self) -> bool:
+        """Whether ``counted`` still holds postings that the cuts take out."""
+        return self.n_buckets is None and (self.min_df > 0 or self.max_df is not None)
+
+    def materialised(self) -> Index:
+        """The same index with its counted terms written, so that several uses tokenise once."""
         if self.n_buckets is not None:
-            return columns
-        if self.stored_stats is not None:
-            return cut_postings(columns, self.posted_terms)
-        # Tokenising twice would cost more than this exchange, which Spark runs once for
-        # all uses: counting over tf keeps its columns the same, and the filter stands where
-        # the join on term would put one of its own.
-        columns = columns.where(F.col("term").isNotNull()).repartition("doc_id")
-        counts = columns.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
-        return cut_postings(columns, counts.where((F.col("df") > self.min_df) & (F.col("df") < self.max_df)))
+            return self
+        return replace(self, counted=write_shared(self.counted.select("term", "doc_id", "tf"), "counted"))
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        """``(term, doc_id, tf)`` after both cuts.
+
+        Without cuts these are the counted terms as they are. For a cut those are written and
+        counted. A hot cut alone leaves the postings where they are, unless the hot
+        terms are measured to be too many to broadcast; a rare cut exchanges them once.
+        """
+        if not self.is_cut:
+            return self.counted.select("term", "doc_id", "tf")
+        index = self.materialised()
+        if self.min_df > 0:
+            return cut_postings(index.counted, index.posted_terms)
+        hot = index.term_stats.where(~self.is_posted())
+        if fits_broadcast(hot, "term"):
+            return index.counted.join(F.broadcast(hot.select("term")), "term", "left_anti")
+        return cut_postings(index.counted, index.posted_terms)
 
     def restricted_to(self, wanted: list[str]) -> Index:
         """The same index, reading only the buckets and row groups that can hold ``wanted``."""
@@ -105,16 +126,14 @@ def cut_postings(counted: DataFrame, kept: DataFrame, small: bool = False) -> Da
 
 def build_index(corpus: DataFrame, source_col: str, id_col: str = "id",
                 stopwords: Iterable[str] | None = None,
-                min_df: int | None = None, max_df: int = MAX_DF) -> Index:
-    """Index over one text column; rare terms are cut for the body column ``text`` only."""
-    if min_df is None:
-        min_df = BODY_MIN_DF if source_col == "text" else 0
+                min_df: int = 0, max_df: int | None = None) -> Index:
+    """Index over one text column; nothing is cut unless asked for."""
     return Index(term_frequencies(corpus.select(id_col, source_col), id_col, source_col, stopwords),
                  min_df, max_df)
 
 
 def build_anchor_index(links: DataFrame, stopwords: Iterable[str] | None = None,
-                       min_df: int = 0, max_df: int = MAX_DF) -> Index:
+                       min_df: int = 0, max_df: int | None = None) -> Index:
     """Index of link texts under the page they point to, from ``(src, dst, text)``.
 
     Equal texts of one target are counted before they are tokenised, and the
@@ -127,7 +146,7 @@ def build_anchor_index(links: DataFrame, stopwords: Iterable[str] | None = None,
     return Index(counted, min_df, max_df)
 
 
-def index_of_tokens(docs: DataFrame, min_df: int = 0, max_df: int = MAX_DF) -> Index:
+def index_of_tokens(docs: DataFrame, min_df: int = 0, max_df: int | None = None) -> Index:
     """Index over documents that come tokenised: ``(doc_id, tokens)``."""
     return Index(token_frequencies(docs), min_df, max_df)
 
@@ -152,13 +171,14 @@ def posting_list(index: Index, term: str) -> DataFrame:
 
 
 def posting_lists(index: Index, wanted: list[str]) -> DataFrame:
-    """Postings of a few named terms, read through the bucket and row-group bounds."""
-    found = index.restricted_to(wanted).counted.where(F.col("term").isin(wanted))
-    if index.n_buckets is None:
-        known = index.stats_of(found.sparkSession.createDataFrame([(t,) for t in wanted], "term string"))
-        known = known.where(F.col("df") < index.max_df)
-        found = found.join(F.broadcast(known.select("term")), "term", "left_semi")
-    return found.select("term", "doc_id", "tf")
+    """Postings of a few named terms, read through the bucket and row-group bounds.
+
+    The rows of a term are all it has, so a cut counts the rows that were found.
+    """
+    found = index.restricted_to(wanted).counted.where(F.col("term").isin(wanted)).select("term", "doc_id", "tf")
+    if not index.is_cut:
+        return found
+    return replace(index, counted=found).postings
 
 
 def scan_postings(index: Index) -> DataFrame:
@@ -176,5 +196,5 @@ def posting_blocks(index: Index, block_docs: int = BLOCK_DOCS) -> DataFrame:
     block order they are the whole list, and no array exceeds ``block_docs`` entries.
     """
     return (index.postings
-            .groupBy("term", F.floor(F.col("doc_id") / block_docs).alias("block"))
+            .groupBy("term", F.expr(f"(doc_id - pmod(doc_id, {block_docs})) div {block_docs}").alias("block"))
             .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key carrying more work than this is split over several tasks.
 SPLIT_LOAD = 4_000_000
 # At most this many keys are split, which bounds the broadcast list of them.
 MAX_SPLIT_KEYS = 10_000
+# Rows without a key, which a left join keeps, are spread over so many parts.
+NULL_PARTS = 1_000
 # A table is broadcast only if it is known to take less memory than this.
 BROADCAST_BYTES = 128 * 1024 * 1024
 # Memory of a row in a broadcast hash table with its key and pointers, long strings apart.
@@ -50,8 +54,11 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], loads: DataFram
         loads.where(F.col("load") > cut)
         .select(*on, F.ceil(F.col("load") / cut).cast("int").alias("_parts")))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
+    # Rows with a NULL key meet nothing, so they may go anywhere.
+    unmatched = reduce(Column.__or__, [F.col(c).isNull() for c in on])
     divided = (rows.join(heavy, on, "left")
-               .withColumn("_part", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("_parts"))
+               .withColumn("_part", F.pmod(F.xxhash64(*spread), F.when(unmatched, F.lit(NULL_PARTS)).otherwise(parts))
+                           .cast("int")).drop("_parts"))
     repeated = (keys.join(heavy, on, "left")
                 .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
     return divided.join(repeated, [*on, "_part"], how).drop("_part")
@@ -59,5 +66,5 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], loads: DataFram
 
 def lookup_join(rows: DataFrame, table: DataFrame, on: str, spread: list[str], how: str = "inner") -> DataFrame:
     """Join to a table with one row per key, when any share of ``rows`` may have the same key."""
-    loads = rows.groupBy(on).agg(F.count("*").alias("load"))
+    loads = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("load"))
     return spread_join(rows, table, [on], loads, spread, how)

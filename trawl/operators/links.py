@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.operators.joins import MAX_SPLIT_KEYS, SPLIT_LOAD
-from trawl.sources.shared import ready_checkpoints, write_shared
+from trawl.sources.shared import write_shared
 
 RESET = 0.15
 ITERATIONS = 10
@@ -20,8 +20,8 @@ def links_of(corpus: DataFrame) -> DataFrame:
 
 
 def link_edges(links: DataFrame) -> DataFrame:
-    """Distinct ``(src, dst)``; self-links stay."""
-    return links.select("src", "dst").distinct()
+    """Distinct ``(src, dst)``; self-links stay, links without a source or target do not count."""
+    return links.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
 
 
 def link_vertices(corpus: DataFrame) -> DataFrame:
@@ -41,12 +41,11 @@ def pagerank(edges: DataFrame, docs: DataFrame, reset: float = RESET,
     Edges and vertices are written once. Within a stretch of ``checkpoint_every``
     rounds the shuffled edges and vertices are the same exchange, which Spark
     reuses, so a round moves only ranks and pre-summed shares. A source with very
-    many links is split into parts by target, and its rank is sent to each part.
+    many links is split into parts by target, and its rank is sent to each part. Between stretches
+    ranks are written. Edges with a NULL end are left out.
     """
-    spark = edges.sparkSession
-    ready_checkpoints(spark)
     one, none = F.lit(1), F.lit(0)
-    edges = write_shared(edges.select("src", "dst"), "edges")
+    edges = write_shared(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL"), "edges")
     ends = (docs.select("id", one.alias("doc"), none.alias("out"))
             .unionByName(edges.select(F.col("src").alias("id"), none.alias("doc"), one.alias("out")))
             .unionByName(edges.select(F.col("dst").alias("id"), none.alias("doc"), none.alias("out")))
@@ -71,7 +70,7 @@ def pagerank(edges: DataFrame, docs: DataFrame, reset: float = RESET,
                  .select("id", "doc", "out", "parts",
                          (reset + (1 - reset) * F.coalesce("received", F.lit(0.0))).alias("rank")))
         if step % checkpoint_every == 0 or step == iterations:
-            ranks = ranks.checkpoint()
+            ranks = write_shared(ranks, "ranks")
     scale = ranks.agg(F.count("*") / F.sum("rank")).scalar()
     if not all_vertices:
         ranks = ranks.where("doc = 1")

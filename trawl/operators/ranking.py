@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from trawl.functions import scoring
 from trawl.functions.text import count_tokens, terms
 from trawl.operators.indexing import Index
-from trawl.operators.joins import BROADCAST_BYTES, spread_join, tokens_fit_broadcast
+from trawl.operators.joins import BROADCAST_BYTES, ROW_BYTES, lookup_join, spread_join, tokens_fit_broadcast
 from trawl.operators.signals import top_of
 from trawl.sources.shared import write_shared
 
@@ -64,18 +64,20 @@ search_title = search_anchor = search_binary
 
 
 def search_bm25(index: Index, queries: DataFrame, k1: float = K1, b: float = B,
-                n: Column | int | None = None, k: int | None = None,
+                n: Column | int | None = None, k: int | None = TOP_K,
                 titles: DataFrame | None = None, stopwords: Iterable[str] | None = None,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """BM25 with fixed document length. ``n`` is the number of terms with postings unless given.
 
-    Without ``k`` all matches are returned, their rank left empty.
+    ``b`` is accepted for compatibility: with every length taken as average it has no effect.
+    With ``k=None`` all matches are returned, their rank left empty.
     """
     if n is None:
+        index = index.materialised()
         n = index.posted_terms.agg(F.count("*")).scalar()
     batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes)
     weights = batch.known_terms().withColumn("weight", F.col("q_tf") * scoring.bm25_idf(F.col("df"), n))
-    gain = scoring.bm25_gain(F.col("weight"), F.col("tf"), k1, b)
+    gain = scoring.bm25_gain(F.col("weight"), F.col("tf"), k1)
     return resolve_titles(top_k(batch.score(weights, [F.sum(gain).alias("score")]), k), titles)
 
 
@@ -121,8 +123,8 @@ def top_k(scores: DataFrame, k: int | None) -> DataFrame:
     keyed = scores.withColumn("_key", scoring.sort_key(F.col("score")))
     order = [F.col("_key").desc(), F.col("doc_id")]
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
-    if k is None:
-        return _rank_all(keyed)
+    if k is None:  # every match, unranked: a caller who wants an order sorts, or asks for k
+        return keyed.select("query_id", F.lit(None).cast("int").alias("rank"), "doc_id", "score")
     if k > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
         per_slice = Window.partitionBy("query_id", "_slice").orderBy(*order)
@@ -132,18 +134,22 @@ def top_k(scores: DataFrame, k: int | None) -> DataFrame:
             .select("query_id", "rank", "doc_id", "score"))
 
 
-def _rank_all(keyed: DataFrame) -> DataFrame:
-    """Every match, unranked: a caller who wants an order sorts, or asks for k."""
-    return keyed.select("query_id", F.lit(None).cast("int").alias("rank"), "doc_id", "score")
-
-
 def resolve_titles(results: DataFrame, titles: DataFrame | None) -> DataFrame:
-    """Add the title, or the id as text where there is none."""
+    """Add the title, or the id as text where there is none.
+
+    Only titles of documents among the results are moved. A document in a large share of the
+    results is split.
+    """
     fallback = F.col("doc_id").cast("string")
     if titles is None:
         named = results.withColumn("title", fallback)
     else:
-        named = (results.join(titles.select(F.col("id").alias("doc_id"), "title"), "doc_id", "left")
+        results = write_shared(results, "results")
+        ids = results.select(F.col("doc_id").alias("id")).distinct()
+        if results.count() * ROW_BYTES <= BROADCAST_BYTES:
+            ids = F.broadcast(ids)
+        wanted = titles.join(ids, "id", "left_semi").select(F.col("id").alias("doc_id"), "title")
+        named = (lookup_join(results, wanted, "doc_id", ["query_id"], "left")
                  .withColumn("title", F.coalesce("title", fallback)))
     return named.select("query_id", "rank", "doc_id", "title", "score")
 
@@ -181,10 +187,7 @@ class _Batch:
         self.postings = _by_field({f: i.counted.select("term", "doc_id", "tf") for f, i in self.indexes.items()})
         if self.small:
             wanted = F.broadcast(self.terms.select("term"))
-            # A fixed number of partitions: each posting is about to meet all queries with its
-            # term, so the exchanged bytes say little about the work behind them.
-            n = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            self.postings = self.postings.join(wanted, "term", "left_semi").repartition(n, "doc_id")
+            self.postings = self.postings.join(wanted, "term", "left_semi").repartition("doc_id")
 
     def known_terms(self) -> DataFrame:
         """``(field, term, df, query_id, q_len, q_tf)`` for the query terms an index knows."""
@@ -214,15 +217,19 @@ class _Batch:
               signals: dict[str, DataFrame] | None = None) -> DataFrame:
         """``(query_id, doc_id)`` with the given sums over matching postings, and the document's signals."""
         on, pair, signals = ["field", "term"], ["query_id", "doc_id"], signals or {}
-        weights = weights.where(F.col("df") < self._limit("max_df"))
+        limit = self._limit("max_df")
+        weights = weights.where(limit.isNull() | (F.col("df") < limit))
         if self.small:
-            carried = [F.max(name).alias(name) for name in signals]
-            by_doc = _with_signals(self.postings, signals)
-            return by_doc.join(F.broadcast(weights), on).groupBy(*pair).agg(*sums, *carried)
+            # Grouped where the documents' postings are, so the signals come to the same partitions.
+            return _with_signals(self.postings.join(F.broadcast(weights), on).groupBy(*pair).agg(*sums), signals)
         weights = write_shared(weights, "query-weights")
         loads = weights.groupBy(*on).agg((F.max("df").cast("double") * F.count("*")).alias("load"))
-        matched = spread_join(self.postings, weights, on, loads, ["doc_id"])
-        return _with_signals(matched.groupBy(*pair).agg(*sums), signals)
+        summed = spread_join(self.postings, weights, on, loads, ["doc_id"]).groupBy(*pair).agg(*sums)
+        if signals:
+            summed = write_shared(summed, "sums")
+        for name, table in signals.items():
+            summed = lookup_join(summed, _signal(name, table), "doc_id", ["query_id"], "left")
+        return summed
 
     def _limit(self, name: str) -> Column:
         return F.element_at(F.create_map(*[F.lit(x) for f, i in self.indexes.items() for x in (f, getattr(i, name))]),
@@ -245,6 +252,10 @@ def _by_field(tables: dict[str, DataFrame]) -> DataFrame:
 def _with_signals(by_doc: DataFrame, signals: dict[str, DataFrame]) -> DataFrame:
     """Left-join ``(id, value)`` tables under their names, by doc_id."""
     for name, table in signals.items():
-        value = next(c for c in table.columns if c != "id")
-        by_doc = by_doc.join(table.select(F.col("id").alias("doc_id"), F.col(value).alias(name)), "doc_id", "left")
+        by_doc = by_doc.join(_signal(name, table), "doc_id", "left")
     return by_doc
+
+
+def _signal(name: str, table: DataFrame) -> DataFrame:
+    value = next(c for c in table.columns if c != "id")
+    return table.select(F.col("id").alias("doc_id"), F.col(value).alias(name))

@@ -39,7 +39,8 @@ def pageview_map(pairs: DataFrame, on_duplicate: str = "sum") -> DataFrame:
 
 
 def title_map(corpus: DataFrame) -> DataFrame:
-    return corpus.select("id", "title").dropDuplicates(["id"])
+    """One title per id; of several the first in order."""
+    return corpus.groupBy("id").agg(F.min("title").alias("title"))
 
 
 def signal_max(signal: DataFrame, value: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 
 from trawl.operators import links as graph
 from trawl.operators import metrics, ranking, signals
-from trawl.operators.indexing import BODY_MIN_DF, MAX_DF, Index, build_anchor_index, build_index
+from trawl.operators.indexing import Index, build_anchor_index, build_index
 from trawl.sources import store
+from trawl.sources.shared import write_shared
 
 
 @dataclass(frozen=True)
@@ -30,11 +32,12 @@ class Engine:
     @classmethod
     def build(cls, corpus: DataFrame, path: str, pageview_lines: DataFrame | None = None,
               links: DataFrame | None = None, stopwords: Iterable[str] | None = None,
-              min_df: int = BODY_MIN_DF, max_df: int = MAX_DF, n_buckets: int = store.N_BUCKETS,
+              min_df: int = 0, max_df: int | None = None, n_buckets: int = store.N_BUCKETS,
               iterations: int = graph.ITERATIONS, mode: str = "error") -> Engine:
         """Index ``corpus (id, title, text, anchor_text)``, save all tables under ``path``, load them.
 
-        ``links (src, dst, text)`` replaces the links in ``anchor_text`` if given.
+        ``links (src, dst, text)`` replaces the links in ``anchor_text`` if given. No terms are
+        cut unless ``min_df`` (of the body) or ``max_df`` is given.
         """
         if links is None:
             links = graph.links_of(corpus)
@@ -75,7 +78,7 @@ class Engine:
         return ranking.search_anchor(self.anchor, queries, k, self.titles, self.stopwords)
 
     def search_bm25(self, queries: DataFrame, k1: float = ranking.K1, b: float = ranking.B,
-                    k: int | None = None) -> DataFrame:
+                    k: int | None = ranking.TOP_K) -> DataFrame:
         return ranking.search_bm25(self.body, queries, k1, b, k=k, titles=self.titles, stopwords=self.stopwords)
 
     def lookup_pagerank(self, ids: DataFrame) -> DataFrame:
@@ -84,8 +87,12 @@ class Engine:
     def lookup_pageviews(self, ids: DataFrame) -> DataFrame:
         return signals.lookup_pageviews(ids, self.pageviews)
 
-    def evaluate(self, queries: DataFrame, qrels: DataFrame, k: int = ranking.TOP_K) -> DataFrame:
-        return metrics.evaluate(queries, self.search(queries, k), qrels)
+    def evaluate(self, queries: DataFrame, qrels: DataFrame, k: int = ranking.TOP_K) -> tuple[DataFrame, float]:
+        """The metrics of each query, and the seconds that searching the whole batch took."""
+        began = time.perf_counter()
+        found = write_shared(self.search(queries, k), "run")
+        seconds = time.perf_counter() - began
+        return metrics.evaluate(queries, found, qrels), seconds
 
 
 def ask(spark: SparkSession, *texts: str) -> DataFrame:

@@ -30,6 +30,7 @@ INDEX_INFO = T.StructType([
     T.StructField("min_df", T.LongType()),
     T.StructField("max_df", T.LongType()),
     T.StructField("n_buckets", T.IntegerType()),
+    T.StructField("complete", T.BooleanType()),
 ])
 
 PAGERANK = T.StructType([
@@ -47,17 +48,4 @@ TITLES = T.StructType([
     T.StructField("title", T.StringType()),
 ])
 
-QUERIES = T.StructType([
-    T.StructField("query_id", T.LongType()),
-    T.StructField("query", T.StringType()),
-])
-
-RESULTS = T.StructType([
-    T.StructField("query_id", T.LongType()),
-    T.StructField("rank", T.IntegerType()),
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("score", T.DoubleType()),
-])
-
 QRELS_JSON = T.MapType(T.StringType(), T.ArrayType(T.StringType()))

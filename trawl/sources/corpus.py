@@ -9,22 +9,14 @@ from trawl import schemas
 from trawl.operators.joins import lookup_join
 
 
-SMALL_INPUT = 256 * 1024 * 1024
-
-
 def balanced(df: DataFrame, key: str) -> DataFrame:
-    """A small input spread over all cores, for work that is heavy per row.
-
-    A file of a few megabytes can be a single row group, which one task would
-    process alone. Inputs above SMALL_INPUT have row groups enough and are not moved.
+    """An input that would be scanned by fewer tasks than there are cores, spread over all cores.
 
-    Rows go by a hash of the key, not by the key itself: a later exchange by document
-    would then be dropped as superfluous, and two parts of a plan could not share it.
+    A file of a few megabytes can be a single row group, which one task would process alone.
+    An input with tasks enough is not moved. No plan relies on the exchange.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size > SMALL_INPUT:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(key))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, F.xxhash64(key))
 
 
 def read_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -41,12 +33,12 @@ def read_pageviews(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_qrels(spark: SparkSession, path: str | list[str], one_object_per_line: bool = False) -> DataFrame:
     """``(query, doc_id)`` from JSON objects that map a query to its relevant ids.
 
-    A file holds one object, or one object per line.
+    A file holds one object, or one object per line. Ids that are no integers are dropped.
     """
     objects = spark.read.text(path, wholetext=not one_object_per_line)
     per_query = objects.select(F.explode(F.from_json("value", schemas.QRELS_JSON)).alias("query", "ids"))
     return (per_query.select("query", F.explode("ids").alias("doc_id"))
-            .select("query", F.col("doc_id").cast("bigint").alias("doc_id")))
+            .select("query", F.col("doc_id").try_cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL"))
 
 
 def match_qrels(qrels: DataFrame, queries: DataFrame) -> DataFrame:

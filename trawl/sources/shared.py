@@ -7,29 +7,34 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders made for sessions on one machine that name none, by application.
+_LOCAL: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir`` or ``setCheckpointDir``.
+
+    A session on one machine that names none gets a temporary folder, which its settings do
+    not show. On a cluster that is an error, as other machines would not see the folder.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="trawl-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+    master = context.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
+    return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="trawl-"))
 
 
-def ready_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable in this session."""
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+def run_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are; the caller may delete it once no result is read any more."""
+    return f"{shared_folder(spark).rstrip('/')}/trawl/{spark.sparkContext.applicationId}"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/trawl/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:

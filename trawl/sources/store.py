@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,48 +24,47 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
     """Write statistics, then postings, one folder per term bucket, sorted by term and doc_id.
 
     A bucket with more than ``slice_postings`` postings, be they of one term, is
-    divided by document into slices, each written by one task. ``info`` goes last
-    and marks the index as complete.
+    divided by document into slices, each written by one task. ``info`` goes first, marked
+    as incomplete, and again last: a save that broke off is never loaded.
 
-    Tokenising costs far more than reading its result back, so the counted terms are kept on
-    the executors' disks between the two writes. Lost blocks are counted again.
+    The counted terms are written before all else, as they are read twice and tokenising
+    costs far more than reading its result back.
     """
     spark = index.counted.sparkSession
-    bucket = term_bucket(F.col("term"), n_buckets)
-    counted = index.counted
-    kept_here = counted.storageLevel == StorageLevel.NONE
-    if kept_here:
-        counted.persist(StorageLevel.DISK_ONLY)
-    try:
-        (index.term_stats.withColumn("bucket", bucket)
-         .repartitionById(n_buckets, "bucket").sortWithinPartitions("term")
-         .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_stats"))
-        stats = _read(spark, f"{path}/term_stats", schemas.TERM_STATS)
-        posted = stats.where(F.col("df") < index.max_df)
-
-        # One row per bucket, so n_buckets rows at most.
-        sizes = {r["bucket"]: r["n"] for r in posted.groupBy("bucket").agg(F.sum("df").alias("n")).collect()}
-        slices = [max(1, -(-sizes.get(b, 0) // slice_postings)) for b in range(n_buckets)]
-        firsts = list(accumulate(slices, initial=0))
-        of_bucket = lambda values: F.element_at(F.lit(values), F.col("bucket") + 1)
-        slice_id = (of_bucket(firsts) + F.pmod(F.xxhash64("doc_id"), of_bucket(slices))).cast("int")
-
-        postings = cut_postings(counted.select("term", "doc_id", "tf"), posted, small=fits_broadcast(posted, "term"))
-        (postings.withColumn("bucket", bucket)
-         .repartitionById(firsts[-1], slice_id)
-         .sortWithinPartitions("bucket", "term", "doc_id")
-         .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
-    finally:
-        if kept_here:
-            counted.unpersist()
-
-    info = spark.createDataFrame([(index.min_df, index.max_df, n_buckets)], schemas.INDEX_INFO)
+    _write_info(index, path, n_buckets, False, mode)
+    index, bucket = index.materialised(), term_bucket(F.col("term"), n_buckets)
+    (index.term_stats.withColumn("bucket", bucket)
+     .repartitionById(n_buckets, "bucket").sortWithinPartitions("term")
+     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_stats"))
+    stats = _read(spark, f"{path}/term_stats", schemas.TERM_STATS)
+    posted = stats.where(index.is_posted())
+
+    # One row per bucket, so n_buckets rows at most.
+    sizes = {r["bucket"]: r["n"] for r in posted.groupBy("bucket").agg(F.sum("df").alias("n")).collect()}
+    slices = [max(1, -(-sizes.get(b, 0) // slice_postings)) for b in range(n_buckets)]
+    firsts = list(accumulate(slices, initial=0))
+    of_bucket = lambda values: F.element_at(F.lit(values), F.col("bucket") + 1)
+    slice_id = (of_bucket(firsts) + F.pmod(F.xxhash64("doc_id"), of_bucket(slices))).cast("int")
+
+    postings = index.counted.select("term", "doc_id", "tf")
+    if index.is_cut:
+        postings = cut_postings(postings, posted, small=fits_broadcast(posted, "term"))
+    (postings.withColumn("bucket", bucket)
+     .repartitionById(firsts[-1], slice_id)
+     .sortWithinPartitions("bucket", "term", "doc_id")
+     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
+    _write_info(index, path, n_buckets, True, "overwrite")
+
+
+def _write_info(index: Index, path: str, n_buckets: int, complete: bool, mode: str) -> None:
+    row = (index.min_df, index.max_df, n_buckets, complete)
+    info = index.counted.sparkSession.createDataFrame([row], schemas.INDEX_INFO)
     info.coalesce(1).write.mode(mode).parquet(f"{path}/info")
 
 
 def load_index(spark: SparkSession, path: str, fallback: str | None = None,
                missing_ok: bool = False) -> Index | None:
-    """Load a saved index, from ``fallback`` if there is none at ``path``.
+    """Load a saved index, from ``fallback`` if there is none, or an incomplete one, at ``path``.
 
     If neither is there, None is returned with ``missing_ok``, and searches over it find nothing.
     """
@@ -77,6 +75,8 @@ def load_index(spark: SparkSession, path: str, fallback: str | None = None,
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
+        if info is None or not info["complete"]:
+            continue
         return Index(_read(spark, f"{candidate}/postings", schemas.POSTINGS), info["min_df"], info["max_df"],
                      _read(spark, f"{candidate}/term_stats", schemas.TERM_STATS), info["n_buckets"])
     if missing_ok:

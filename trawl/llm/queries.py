@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from trawl.llm import sql
 from trawl.llm.decontamination import op4_decontamination
 from trawl.llm.html_text import op2_html_text
 from trawl.llm.language import op1_language
@@ -17,4 +18,10 @@ REGISTERED = [op1_language, op2_html_text, op3_token_counts, op4_decontamination
               op6_substring_dedup, op7_secrets, op8_toxicity, op9_neighbours, op10_near_duplicates]
 
 QUERIES = {f.__name__: f for f in REGISTERED}
-ORACLE_SQL: dict[str, str] = {}
+#: The others apply a trained model or a tokenizer, need exact floating-point order or give places of pattern
+#: matches, which SQL cannot express; tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": sql.DECONTAMINATION,
+    "op6_substring_dedup": sql.REPEATS,
+    "op10_near_duplicates": sql.NEAR_DUPLICATES,
+}

@@ -60,7 +60,7 @@ def choose_cuts(where: list[int], cost: list[int], window: int, exact_from: int)
     """
     best, came = [0], [0]
     queue = deque([(where[0], 0)])
-    index = {}
+    index = {where[0]: 0}
     powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
     for j in range(1, len(where)):
         at = where[j]

@@ -52,7 +52,7 @@ def test_suffix_array(text, depth):
     assert sorted(order.tolist()) == list(range(len(text))) and keys == sorted(keys)
 
 
-def tests_table():
+def items_to_find():
     passage = prose(50, 30)
     return [("1", passage), ("2", prose(1, 40).upper()), ("3", "la la la"), ("4", ""), ("5", None), (None, prose(7, 20)),
             ("6", "x" * 5000), ("1", passage), ("7", "12345"), ("8", passage + " " + prose(51, 12)), ("10", "no such words here")]
@@ -80,7 +80,7 @@ def brute_matches(text, tests, window=10):
 @pytest.mark.parametrize("block", [deco.BLOCK_BYTES, 300])
 def test_contamination(spark, monkeypatch, block):
     monkeypatch.setattr(deco, "BLOCK_BYTES", block)
-    tests = tests_table()
+    tests = items_to_find()
     table = spark.createDataFrame(tests, "item_id string, text string")
     found = deco.contamination(deco.find_matches(documents(spark, tainted()), table)).collect()
     assert len(found) == len(tainted())
@@ -147,7 +147,7 @@ def test_equal_hashes_of_unequal_windows_are_told_apart():
 
 
 def test_equal_strings_of_a_part_travel_once():
-    packer = repeats.Packer(1, 20, 5)
+    packer = repeats.Packer(1, 20, repeats.PIECE)
     packer.add(list(range(500)), [prose(1, 60)] * 500)
     n = repeats.super_kmers(Words([" ".join(prose(1, 60).split()).encode()], UNSPACED))[0]
     assert len(packer.strings) <= len(n)
@@ -243,7 +243,7 @@ def vectors():
     rng = np.random.default_rng(8)
     rows = [(n, rng.normal(size=6).astype("f4").tolist()) for n in range(300)]
     rows += [(n, rows[7][1]) for n in range(300, 340)] + [(n, [2 * x for x in rows[9][1]]) for n in range(340, 345)]
-    rows += [(400, None), (450, []), (500, [0.0] * 6), (550, [1.0, None, 0, 0, 0, 0]), (600, [float("nan")] * 6),
+    rows += [(400, None), (450, []), (500, [0.0] * 6), (550, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (600, [float("nan")] * 6),
              (650, [float("inf")] + [1.0] * 5), (700, [1.0, 2.0]), (701, [2.0, 1.0]), (None, rows[3][1]), (50, rows[50][1])]
     return rows
 

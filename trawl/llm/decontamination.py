@@ -197,8 +197,8 @@ def find_matches(docs: DataFrame, tests: DataFrame, text_col: str = "text", test
                                [pa.int64(), MATCH_ARROW], SHARD_CHARS)
         if n:  # more than one block: what was found so far is kept in a table
             found = write_shared(found, "matches")
-        found = (found.withColumn("_found", search(text_col)).withColumn("n_words", F.col("_found.n_words"))
-                 .withColumn("matches", F.concat("matches", "_found.matches")).drop("_found"))
+        found = (found.withColumn("__trawl_found", search(text_col)).withColumn("n_words", F.col("__trawl_found.n_words"))
+                 .withColumn("matches", F.concat("matches", "__trawl_found.matches")).drop("__trawl_found"))
     return found
 
 
@@ -215,17 +215,18 @@ def covered(matches):
 def contamination(found: DataFrame) -> DataFrame:
     """Adds ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated`` and ``longest`` to ``find_matches``."""
     items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
-    return (found.withColumn("_items", items)
+    return (found.withColumn("__trawl_items", items)
             .withColumns({"n_hit": covered(F.col("matches")).cast("bigint"),
-                          "n_items": F.size("_items").cast("bigint"),
-                          "items_sha256": F.sha2(F.array_join("_items", ","), 256),
+                          "n_items": F.size("__trawl_items").cast("bigint"),
+                          "items_sha256": F.sha2(F.array_join("__trawl_items", ","), 256),
                           "longest": F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0))})
-            .withColumn("contaminated", F.col("n_hit") > 0).drop("_items"))
+            .withColumn("contaminated", F.col("n_hit") > 0).drop("__trawl_items"))
 
 
 def decontaminate(docs: DataFrame, tests: DataFrame, text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` without a match."""
-    return find_matches(docs, tests, text_col, **kw).where(F.size("matches") == 0).select(*docs.columns)
+    """The rows of ``docs`` without a match, with all their columns."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    return find_matches(rows, tests, **kw).where(F.size("matches") == 0).select("row.*")
 
 
 def op4_decontamination(spark, sf_dir):

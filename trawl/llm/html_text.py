@@ -292,8 +292,8 @@ def extract(pages: DataFrame, model: BlockLabeller, html_col: str = "html") -> D
         found = shared.value.main_texts(part)
         return [found, [len(t) for t in found]]
     done = text_function(texts, "text string, n_chars bigint", ["text", "n_chars"], [pa.string(), pa.int64()])
-    return pages.withColumn("_found", done(html_col)).withColumns(
-        {c: F.col(f"_found.{c}") for c in ("text", "n_chars")}).drop("_found")
+    return pages.withColumn("__trawl_found", done(html_col)).withColumns(
+        {c: F.col(f"__trawl_found.{c}") for c in ("text", "n_chars")}).drop("__trawl_found")
 
 
 def op2_html_text(spark, sf_dir):

@@ -188,8 +188,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     predict = text_function(lambda texts: shared.value.predict(texts),
                             "lang_pred string, score double, accepted boolean",
                             ["lang_pred", "score", "accepted"], [pa.string(), pa.float64(), pa.bool_()])
-    found = docs.withColumn("_found", predict(text_col))
-    return found.withColumns({c: F.col(f"_found.{c}") for c in ("lang_pred", "score", "accepted")}).drop("_found")
+    found = docs.withColumn("__trawl_found", predict(text_col))
+    return found.withColumns({c: F.col(f"__trawl_found.{c}") for c in ("lang_pred", "score", "accepted")}).drop("__trawl_found")
 
 
 def op1_language(spark, sf_dir):

@@ -143,14 +143,14 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
     found = text_function(scan_texts, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string",
                           names, [pa.int64()] * 3 + [pa.string()] * 2)
-    return docs.withColumn("_found", found(text_col)).withColumns({c: F.col(f"_found.{c}") for c in names}).drop("_found")
+    return docs.withColumn("__trawl_found", found(text_col)).withColumns({c: F.col(f"__trawl_found.{c}") for c in names}).drop("__trawl_found")
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the secrets in their texts replaced by their kind in brackets; a null text stays null."""
     done = text_function(redact_texts, "text string", ["text"], [pa.string()])
-    return (docs.withColumn("_found", done(text_col))
-            .withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.col("_found.text"))).drop("_found"))
+    return (docs.withColumn("__trawl_found", done(text_col))
+            .withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.col("__trawl_found.text"))).drop("__trawl_found"))
 
 
 def op7_secrets(spark, sf_dir):

@@ -197,8 +197,8 @@ def score(docs: DataFrame, model: FactorizationMachine, text_col: str = "text",
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = text_function(lambda texts: [shared.value.score(texts)], "score double", ["score"], [pa.float64()])
-    return (docs.withColumn("_found", scored(text_col)).withColumn("score", F.col("_found.score"))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop("_found"))
+    return (docs.withColumn("__trawl_found", scored(text_col)).withColumn("score", F.col("__trawl_found.score"))
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop("__trawl_found"))
 
 
 def train_on_folds(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:

@@ -24,8 +24,8 @@ SHINGLE_WORDS, PERCENT = 5, 80
 HALF = 2
 #: Chance that a pair just at the threshold has no table in common, at most.
 MISS = 1e-4
-#: Rounds that link groups of one table by single pairs before all pairs between groups are tried.
-STAR_ROUNDS = 3
+#: Rounds at most that link groups of one table by single pairs before all pairs between groups are tried.
+STAR_ROUNDS = 2
 SLICE = 500_000
 
 
@@ -98,6 +98,10 @@ def squeezed():
     return text_function(squeeze, "blob binary", ["blob"], [pa.binary()])
 
 
+def unsqueezed(blob: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(blob).decode()
+
+
 def linked(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataFrame:
     """The ``pairs (a, b)`` whose full shingle sets have ``100 * common >= percent * union``.
 
@@ -108,8 +112,7 @@ def linked(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataF
 
         def sets(key: int, blob: bytes) -> np.ndarray:
             if key not in held:
-                text = zstandard.ZstdDecompressor().decompress(blob).decode()
-                held[key] = shingle_sets([text], size)[0]
+                held[key] = shingle_sets([unsqueezed(blob)], size)[0]
                 if len(held) > 32:
                     held.popitem(last=False)
             held.move_to_end(key)
@@ -135,29 +138,87 @@ def linked(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataF
     return both.select("a", "b", "blob_a", "blob_b").mapInArrow(verify, "a bigint, b bigint")
 
 
-def pairs_of_groups(members: DataFrame, labels: DataFrame, every: bool) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, between different groups that meet in a table.
+def grouped_by(labels: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(key, id, c)`` with the group of each id, and ``(key, first, n)`` of the tables in which groups meet."""
+    rows = (members.join(labels.withColumnRenamed("component", "c"), "id", "left")
+            .withColumn("c", F.coalesce("c", "id")))
+    mixed = (rows.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last"), F.count("*").alias("n"))
+             .where("first < last").drop("last"))
+    return rows, mixed
+
 
-    ``members`` is ``(key, id)``, ``labels`` the group of each id in one. With ``every`` all
-    pairs of members of different groups, else one member of each group with one of the
-    first group.
+def pairs_of_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)``, a < b: one member of each group with one of the first group, for groups that meet in a table.
+
+    ``members`` is ``(key, id)``, ``labels`` the group of each id in one.
     """
-    grouped = (members.join(labels.withColumnRenamed("component", "c"), "id", "left")
-               .withColumn("c", F.coalesce("c", "id")))
-    mixed = grouped.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last")
+    grouped, mixed = grouped_by(labels, members)
     rows = grouped.join(mixed.select("key", "first"), "key")
     chosen = rows.groupBy("key", "first", "c").agg(F.min_by("id", F.xxhash64("key", "id")).alias("id"))
-    if every:
-        groups = chosen.select("key", "c")
-        meeting = (groups.join(groups.withColumnRenamed("c", "d"), "key").where("c < d")
-                   .join(rows.select("key", "c", F.col("id").alias("p")), ["key", "c"])
-                   .join(rows.select("key", F.col("c").alias("d"), F.col("id").alias("q")), ["key", "d"]))
-    else:
-        heads = chosen.where("c = first").select("key", F.col("id").alias("p"))
-        meeting = chosen.where("c > first").select("key", F.col("id").alias("q")).join(heads, "key")
+    heads = chosen.where("c = first").select("key", F.col("id").alias("p"))
+    meeting = chosen.where("c > first").select("key", F.col("id").alias("q")).join(heads, "key")
     return meeting.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
+def plausible(percent: int, rest_a: str, size_a: str, rest_b: str, size_b: str) -> str:
+    """Whether two sets can be similar that have nothing in common before the last ``rest`` of each."""
+    return f"100 * least({rest_a}, {rest_b}) >= {percent} * ({size_a} + {size_b} - least({rest_a}, {rest_b}))"
+
+
+def all_pairs(rare: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)``, a < b, of different groups that meet in a rare shingle and can be similar.
+
+    At the first shingle in order of rarity that two similar sets share, what follows it has
+    room for all they have in common. So groups, and then their members, are paired only where
+    it has; a similar pair always is, by that shingle.
+    """
+    grouped, mixed = grouped_by(labels, rare)
+    rows = grouped.join(mixed.select("key"), "key", "left_semi")
+    groups = rows.groupBy("key", "c").agg(F.max("rest").alias("rest"), F.min("size").alias("size"))
+    others = groups.select(F.col("key").alias("k"), F.col("c").alias("d"), F.col("rest").alias("rest_d"), F.col("size").alias("size_d"))
+    met = groups.join(others, (F.col("key") == F.col("k")) & (F.col("c") < F.col("d"))
+                      & F.expr(plausible(percent, "rest", "size", "rest_d", "size_d"))).select("key", "c", "d")
+    left = rows.select("key", "c", F.col("id").alias("p"), F.col("rest").alias("rest_p"), F.col("size").alias("size_p"))
+    right = rows.select(F.col("key").alias("k"), F.col("c").alias("e"), F.col("id").alias("q"),
+                        F.col("rest").alias("rest_q"), F.col("size").alias("size_q"))
+    pairs = met.join(left, ["key", "c"]).join(
+        right, (F.col("key") == F.col("k")) & (F.col("d") == F.col("e"))
+        & F.expr(plausible(percent, "rest_p", "size_p", "rest_q", "size_q")))
+    return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
+def rare_shingles(blobs: DataFrame, ids: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(key, id, size, rest)``: of each document the rarest shingles, of which a similar one must have one.
+
+    ``size`` is the number of its shingles, ``rest`` of those from this one on in order of rarity.
+
+    If two sets of n and m shingles are similar, so many of the n are common that among the
+    ``n - ceil(percent * n / 100) + 1`` rarest of either there is one that both have. Rarity is
+    counted over the given documents. Shingles of one document only take places but meet
+    nothing, so they are not returned.
+    """
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                ids = batch.column(0).slice(at, 256).to_numpy()
+                texts = [unsqueezed(b) for b in batch.column(1).slice(at, 256).to_pylist()]
+                hashes, bounds = shingle_sets(texts, size)
+                counts = np.diff(bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(ids, counts)), pa.array(hashes.view(np.int64)),
+                     pa.array(np.repeat(counts, counts))], names=["id", "key", "size"])
+
+    own = write_shared(blobs.join(ids, "id", "left_semi").mapInArrow(sets, "id bigint, key bigint, size bigint"), "shingles")
+    common = write_shared(own.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "common-shingles")
+    shared = spread_join(own, common, ["key"], common.select("key", F.col("df").alias("load")), ["id"])
+    listed = shared.groupBy("id").agg(F.first("size").alias("size"),
+                                      F.sort_array(F.collect_list(F.struct("df", "key"))).alias("shared"))
+    places = F.expr(f"size - (size * {percent} + 99) div 100 + 1 - (size - size(shared))")
+    prefix = F.slice("shared", 1, F.greatest(F.lit(0), places).cast("int"))
+    return (listed.select("id", "size", F.size("shared").alias("n"), F.posexplode(prefix).alias("at", "s"))
+            .select(F.col("s.key").alias("key"), "id", "size", (F.col("n") - F.col("at")).alias("rest")))
+
+
 def text_of_members(docs: DataFrame, members: DataFrame) -> DataFrame:
     """``(id, blob)``: the compressed texts of the ids that share a table with another."""
     ids = members.select("id").distinct()
@@ -167,13 +228,43 @@ def text_of_members(docs: DataFrame, members: DataFrame) -> DataFrame:
     return texts.select("id", "f.blob").dropDuplicates(["id"])
 
 
+class Search:
+    """The state of a search for links: what has been tried, and the groups that links have made so far."""
+
+    def __init__(self, blobs: DataFrame, size: int, percent: int, pairs: DataFrame):
+        self.blobs, self.size, self.percent = blobs, size, percent
+        self.tried = write_shared(pairs, "pairs")
+        self.labels = components(linked(self.tried, blobs, size, percent))
+
+    def try_pairs(self, pairs: DataFrame) -> bool:
+        """Try those of the pairs that have not been tried; whether any link was new."""
+        pairs = write_shared(pairs.join(self.tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            return False
+        self.tried = self.tried.union(pairs)
+        links = write_shared(linked(pairs, self.blobs, self.size, self.percent), "links")
+        if links.isEmpty():
+            return False
+        known = self.labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        self.labels = components(known.union(links))
+        return True
+
+    def open_ids(self, members: DataFrame) -> DataFrame:
+        """Ids in tables of more than two members that hold several groups: there pairs may be untried."""
+        rows, mixed = grouped_by(self.labels, members)
+        return rows.join(mixed.where("n > 2").select("key"), "key", "left_semi").select("id").distinct()
+
+
 def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
     """``(id, component)`` of the classes that verified links connect; None if no two meet in a table.
 
-    First each table links its members to its least one. Then, for a few rounds, groups of
-    connected classes that meet in a table are linked by one pair each, and in the end all
-    pairs between groups that still meet are tried. So every pair that shares a table has
-    been compared or is connected, without a pair for each two members of a group.
+    Each table links its members to its least one. For a few rounds, groups of connected
+    classes that still meet in a table are then linked by one pair each. That leaves pairs
+    untried in tables where classes meet that are not connected, as those that share a
+    passage do. There all pairs would be too many. Instead the classes of such tables are
+    brought together anew by their rarest shingles, of which similar ones share one for
+    certain, and all pairs of groups that meet there and can be similar are tried. So no link is lost that
+    any table has, and none of a frequent passage's pairs are made.
     """
     keys = tables(classes)
     shared = write_shared(keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("load"))
@@ -183,26 +274,21 @@ def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: in
     if members.isEmpty():
         return None
     blobs = write_shared(text_of_members(docs, members), "member-texts")
-    tried = write_shared(members.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-                         .distinct(), "pairs")
+    search = Search(blobs, size, percent,
+                    members.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct())
     members = members.select("key", "id")
-    labels = components(linked(tried, blobs, size, percent))
-    rounds = 0
-    while True:
-        every = rounds == STAR_ROUNDS
-        pairs = pairs_of_groups(members, labels, every)
-        pairs = write_shared(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            tried = tried.union(pairs)
-            links = write_shared(linked(pairs, blobs, size, percent), "links")
-            if not links.isEmpty():
-                known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-                labels = components(known.union(links))
-                rounds += 0 if every else 1
-                continue
-        if every:
-            return labels
-        rounds = STAR_ROUNDS
+    for _ in range(STAR_ROUNDS):
+        if not search.try_pairs(pairs_of_groups(members, search.labels)):
+            break
+    left = write_shared(search.open_ids(members), "open")
+    if left.isEmpty():
+        return search.labels
+    rare = write_shared(rare_shingles(blobs, left, size, percent), "rare-shingles")
+    for _ in range(STAR_ROUNDS):
+        if not search.try_pairs(pairs_of_groups(rare.select("key", "id"), search.labels)):
+            break
+    search.try_pairs(all_pairs(rare, search.labels, percent))
+    return search.labels
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
@@ -215,7 +301,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     the document's own.
 
     Documents with equal sets are one class, so copies cost nothing further. Candidates
-    come from tables whose keys join one half from each of two collections of minimum
+    come from tensored tables whose keys join one half from each of two collections of minimum
     hashes. With ``n`` halves per collection there are ``n * n`` tables from ``2 * n``
     halves. Every link is confirmed on full sets. A pair at the threshold is not met
     in any table with a chance of ``MISS``, and less above it.

@@ -24,7 +24,7 @@ from trawl.sources.shared import shared_path  # noqa: E402
 try:
     import corpus_pipeline
     from trawl.llm import queries as llm
-except ModuleNotFoundError as missing:
+except ImportError as missing:  # the folder may be gone, or left without its modules
     if missing.name not in ("corpus_pipeline", "trawl.llm"):
         raise
     llm = corpus_pipeline = None

@@ -15,7 +15,9 @@ from trawl.llm.common import ODD, UNSPACED, Words, arrow_slices, mix, read
 
 WINDOW = 20
 #: Words of the pieces whose least hash decides where a window goes.
-PIECE = 5
+PIECE = 3
+#: Of the packed strings, which are most of what is exchanged.
+COMPRESSION = 6
 #: Characters of text whose windows one bucket holds, about.
 BUCKET_CHARS = 8_000_000
 #: Characters turned into arrays together, and held until packed strings are sent.
@@ -115,7 +117,7 @@ class Packer:
         strings, values = list(self.strings), list(self.strings.values())
         ranges = np.array(self.repeated, np.int64).reshape(-1, 5)
         ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=COMPRESSION)
         for bucket in np.union1d(where, ranges[:, 0]).tolist():
             a, b = np.searchsorted(where[order], [bucket, bucket + 1])
             own = order[a:b].tolist()

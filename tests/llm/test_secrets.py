@@ -72,6 +72,19 @@ def test_random_keys_are_found_and_words_are_not():
         assert not secrets.entropy_spans(clean), clean
 
 
+def test_hex_keys_behind_a_prefix_are_found():
+    rng = random.Random(4)
+    for prefix in ("key_", "v1/", "sk-live-", "id+", ""):
+        keys = [prefix + "".join(rng.choice("0123456789ABCDEF") for _ in range(32)) for _ in range(200)]
+        found = [secrets.entropy_spans(f"see {k} here") for k in keys]
+        assert sum(any(s[0] <= 4 + len(prefix) + 6 and s[2] >= 4 + len(k) - 6 for s in f) for k, f in zip(keys, found)) > 190, prefix
+    for clean in ("v1/12345678901234567890123", "b2-f81d4fae-7dec-11d0-a765-00a0c91e6bf6"):
+        assert not secrets.entropy_spans(clean), clean
+    # Runs of both classes that meet are one stretch.
+    [(start, _, end)] = secrets.entropy_spans("Zx8Qw3Er7Ty1Ui9Op5As2_9F86D081884C7D659A2FEAA0C55AD015")
+    assert (start, end) == (0, 54)
+
+
 def test_base_spans_stay_and_inner_windows_add_nothing():
     text = "token = F3A9c8D7e6B5a4C3d2E1f0A9b8C7d6E5f4A3B2c1 and Zx8Qw3Er7Ty1Ui9Op5As2Df6Gh0Jk4L"
     base, every = secrets.spans(text)

@@ -25,16 +25,16 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Windows of ``window`` characters of a candidate in ``alphabet`` with ``bits`` of entropy or more are secret."""
+    """Windows of ``window`` characters with ``bits`` of entropy or more, of any run of a candidate, are secret."""
 
     kind: str
-    alphabet: re.Pattern
+    run: re.Pattern
     window: int
     bits: float
 
 
 CLASSES = [
-    CharacterClass("entropy_hex", re.compile(r"[0-9a-fA-F]+"), 20, 3.0),
+    CharacterClass("entropy_hex", re.compile(r"[0-9a-fA-F]{20,}"), 20, 3.0),
     CharacterClass("entropy_base64", re.compile(r"[A-Za-z0-9+/_-]+={0,2}"), 20, 3.9),
 ]
 
@@ -84,15 +84,25 @@ def high_windows(value: str, window: int, bits: float) -> list[tuple[int, int]]:
     return found
 
 
+def allowed(value: str) -> bool:
+    return any(a.fullmatch(value) for a in ALLOWED)
+
+
 def entropy_spans(text: str) -> list[tuple[int, str, int]]:
+    """Stretches of high entropy in the runs of each class; those of a candidate that meet are one, of the first's kind."""
     found = []
     for m in CANDIDATE.finditer(text):
-        value = m.group()
-        if any(a.fullmatch(value) for a in ALLOWED):
+        if allowed(m.group()):
             continue
-        kind = next((c for c in CLASSES if len(value) >= c.window and c.alphabet.fullmatch(value)), None)
-        if kind:
-            found += [(m.start() + a, kind.kind, m.start() + b) for a, b in high_windows(value, kind.window, kind.bits)]
+        own = sorted((m.start() + run.start() + a, n, m.start() + run.start() + b) for n, c in enumerate(CLASSES)
+                     for run in c.run.finditer(m.group()) if not allowed(run.group())
+                     for a, b in high_windows(run.group(), c.window, c.bits))
+        at = len(found)
+        for start, n, end in own:
+            if len(found) > at and start <= found[-1][2]:
+                found[-1] = (*found[-1][:2], max(found[-1][2], end))
+            else:
+                found.append((start, CLASSES[n].kind, end))
     return found
 
 

@@ -85,6 +85,22 @@ def test_hex_keys_behind_a_prefix_are_found():
     assert (start, end) == (0, 54)
 
 
+def test_keys_of_letters_only_are_found_and_words_are_not():
+    rng = random.Random(5)
+    for prefix in ("", "key-"):
+        keys = [prefix + "".join(rng.choice(BASE64[:52]) for _ in range(32)) for _ in range(200)]
+        assert sum(bool(secrets.entropy_spans(f"see {k} here")) for k in keys) > 180, prefix
+    for case in (str.lower, str.upper):
+        keys = [case("".join(rng.choice(BASE64[:26]) for _ in range(40))) for _ in range(200)]
+        assert sum(secrets.allowed(k) for k in keys) <= 4
+        # Twenty letters of one case reach the limit of bits less often.
+        assert sum(bool(secrets.entropy_spans(f"see {k} here")) for k in keys) > 60
+    for clean in ("getAttributeNodeNamespaceUnspecified", "XMLHttpRequestFactoryBuilder", "HTTP_REQUEST_ENTITY_TOO_LARGE",
+                  "Rindfleischetikettierungsueberwachung", "abcdefghijklmnopqrstuvwxyz", "anticonstitutionnellement",
+                  "otorrinolaringologico/desoxirribonucleico", "the_quick_brown_fox_jumps_over_lazy_dogs"):
+        assert not secrets.entropy_spans(clean), clean
+
+
 def test_base_spans_stay_and_inner_windows_add_nothing():
     text = "token = F3A9c8D7e6B5a4C3d2E1f0A9b8C7d6E5f4A3B2c1 and Zx8Qw3Er7Ty1Ui9Op5As2Df6Gh0Jk4L"
     base, every = secrets.spans(text)

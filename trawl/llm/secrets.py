@@ -38,14 +38,24 @@ CLASSES = [
     CharacterClass("entropy_base64", re.compile(r"[A-Za-z0-9+/_-]+={0,2}"), 20, 3.9),
 ]
 
-#: Candidates that are no secrets: words, numbers, words or numbers joined by marks, UUIDs, capitalised words run together.
+#: Candidates that are no secrets: numbers, marks, UUIDs.
 ALLOWED = [re.compile(p) for p in (
-    r"[A-Za-z]?[a-z]+", r"[A-Z]+", r"[0-9]+",
-    r"(?:[A-Za-z]+|[0-9]+)(?:[-_/+]+(?:[A-Za-z]+|[0-9]+))*[-_/+=]*",
-    r"[-_/+=]+",
+    r"[0-9]+", r"[-_/+=]+",
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
+)]
+#: And these where their letters read like words: words or numbers joined by marks, capitalised words run together.
+WORDED = [re.compile(p) for p in (
+    r"(?:[A-Za-z]+|[0-9]+)(?:[-_/+]+(?:[A-Za-z]+|[0-9]+))*[-_/+=]*",
     r"(?:[A-Z][a-z]{2,})+[0-9]{0,2}",
 )]
+#: Pairs of letters that make up most of the words of European languages, but under a quarter of random letters.
+PAIRS = frozenset("""ab ac ad af ah ai al am an ap ar as at au ba be bi bl bo br ca ce ch ci ck cl co ct de di do ea ec ed ee ef
+eh ei el em en ep er es et eu ex ff fi fo fr fu ge gr ha he hi ho hr ht ic id ie if ig il im in io ir is it iv ke ki la le li ll lo ls
+lt lu ly ma me mi mm mo mp na nc nd ne ng ni nn no ns nt oc od of ol om on oo op or os ot ou ow pa pe ph pl po pp pr qu ra re ri rn
+ro rr rs rt ru ry sc se sh si so sp ss st su ta te th ti to tr ts tt tu tz ue ui ul um un up ur us ut va ve vi vo wa we wi""".split())
+#: Runs of letters of this length are judged one by one besides all together.
+LONG_RUN = 10
+LETTERS, PARTS = re.compile(r"[A-Za-z]+"), re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -84,8 +94,23 @@ def high_windows(value: str, window: int, bits: float) -> list[tuple[int, int]]:
     return found
 
 
+def words(runs: list[str]) -> bool:
+    """Whether runs of letters read like words: few changes of case, and half the pairs of letters common or in alphabetic order."""
+    parts = [p.lower() for r in runs for p in PARTS.findall(r)]
+    pairs = [p[n:n + 2] for p in parts for n in range(len(p) - 1)]
+    common = sum(p in PAIRS for p in pairs)
+    in_order = sum(ord(p[1]) - ord(p[0]) == 1 for p in pairs)
+    return (3 * (len(parts) - len(runs)) <= sum(map(len, runs))
+            and (2 * common >= len(pairs) or 10 * in_order >= 8 * len(pairs)))
+
+
 def allowed(value: str) -> bool:
-    return any(a.fullmatch(value) for a in ALLOWED)
+    if any(a.fullmatch(value) for a in ALLOWED):
+        return True
+    if not any(a.fullmatch(value) for a in WORDED):
+        return False
+    runs = LETTERS.findall(value)
+    return words(runs) and all(words([r]) for r in runs if len(r) >= LONG_RUN)
 
 
 def entropy_spans(text: str) -> list[tuple[int, str, int]]:

@@ -92,6 +92,22 @@ def test_toxicity_learns_pairs(spark, judged):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in held)
 
 
+def test_toxicity_learns_what_only_pairs_tell():
+    """Toxic where exactly one of two terms occurs, which no sum of weights gives, among random other terms."""
+    rng = np.random.default_rng(1)
+    both = rng.integers(0, 2, (4000, 2))
+    rows = [np.concatenate([np.flatnonzero(b), np.unique(rng.integers(2, 1000, 10))]) for b in both]
+    label = (both[:, 0] ^ both[:, 1]).astype(float)
+
+    def right(model):
+        z = model.raw(np.repeat(np.arange(1000), [len(r) for r in rows[3000:]]), np.concatenate(rows[3000:]), 1000)
+        return np.mean((z * model.scale + model.shift > 0) == label[3000:])
+    model = toxicity.fit(rows[:3000], label[:3000], np.zeros(0, np.int64), 1000, 1.0)
+    assert right(model) > 0.9
+    model.factors[:] = 0
+    assert right(model) < 0.8
+
+
 def test_factorization_machine_equals_its_formula(judged):
     rng = np.random.default_rng(3)
     slot = np.full(1 << toxicity.BITS, -1)

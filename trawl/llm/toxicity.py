@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from trawl.sources.shared import write_shared
 
 BITS = 18
 FACTORS = 8
+#: Rates of the factors of which the calibration rows choose one: the second learns pairs, the first leaves noise alone.
+FACTOR_RATES = (0.002, 0.02)
 #: Labelled rows to fit to, of each label.
 PER_LABEL = 3000
 STEMS = (4, 5)
@@ -87,30 +90,44 @@ def sigmoid(x):
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, slot: np.ndarray, n_terms: int, odds: float,
-        epochs: int = 10, rate: float = 0.1, sparsity: float = 5e-3, factor_rate: float = 0.002,
+        epochs: int = 10, rate: float = 0.1, sparsity: float = 5e-3, factor_rates: tuple[float, ...] = FACTOR_RATES,
         seed: int = 7) -> FactorizationMachine:
-    """Stochastic gradient descent with a step size per parameter; every fourth row calibrates.
+    """Stochastic gradient descent; every fourth row calibrates and chooses the factors' rate and the number of epochs.
 
-    ``rows`` are the texts' rows of the model. Weights shrink towards 0, so that terms without
-    a bearing on the label add nothing, however many a long text has. ``odds`` is the
+    ``rows`` are the texts' rows of the model. Weights and whole rows of factors shrink towards 0, so
+    that terms without a bearing on the label add nothing, however many a long text has. ``odds`` is the
     odds of label 1 among all labelled rows over that among the sample.
     """
-    rng = np.random.default_rng(seed)
-    model = FactorizationMachine(slot, 0.0, np.zeros(n_terms), rng.normal(0, 0.01, (n_terms, FACTORS)))
+    best = FactorizationMachine(slot, 0.0, np.zeros(n_terms), np.zeros((n_terms, FACTORS)))
     if not len(rows):
-        model.shift = -30.0
-        return model
+        best.shift = -30.0
+        return best
     if len(set(labels.tolist())) < 2:
-        model.shift = 30.0 if labels[0] else -30.0
-        return model
+        best.shift = 30.0 if labels[0] else -30.0
+        return best
     learn = [n for n in range(len(rows)) if n % 4]
+    least = np.inf
+    for factor_rate in factor_rates:
+        for model in descent([rows[n] for n in learn], labels[learn], slot, n_terms, epochs, rate, sparsity, factor_rate, seed):
+            loss = calibrate(model, rows[::4], labels[::4], odds)
+            if loss < least:
+                least, best = loss, replace(model, weights=model.weights.copy(), factors=model.factors.copy())
+    return best
+
+
+def descent(rows: list[np.ndarray], labels: np.ndarray, slot: np.ndarray, n_terms: int, epochs: int, rate: float,
+            sparsity: float, factor_rate: float, seed: int) -> Iterator[FactorizationMachine]:
+    """The model after each epoch. Each weight and each term's row of factors has a step size of its own."""
+    rng = np.random.default_rng(seed)
+    model = FactorizationMachine(slot, 0.0, np.zeros(n_terms), rng.normal(0, 0.01, (n_terms, FACTORS)))
     w, v = model.weights, model.factors
-    seen_w, seen_v, seen_b = np.full(n_terms, 1e-2), np.full((n_terms, FACTORS), 1e-2), 1e-2
+    seen_w, seen_v, seen_b = np.full(n_terms, 1e-2), np.full((n_terms, 1), 1e-2), 1e-2
     for _ in range(epochs):
-        for n in rng.permutation(learn):
+        for n in rng.permutation(len(rows)):
             own = rows[n]
-            total = v[own].sum(0)
-            z = model.bias + w[own].sum() + (total @ total - (v[own] ** 2).sum()) / 2
+            factors = v[own]
+            total = factors.sum(0)
+            z = model.bias + w[own].sum() + (total @ total - (factors * factors).sum()) / 2
             g = float(sigmoid(z)) - labels[n]
             seen_b += g * g
             model.bias -= rate * g / np.sqrt(seen_b)
@@ -120,21 +137,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, slot: np.ndarray, n_terms: i
             step = rate / np.sqrt(seen_w[own])
             moved = w[own] - step * g
             w[own] = np.sign(moved) * np.maximum(np.abs(moved) - step * sparsity, 0)
-            slope = g * (total - v[own]) + sparsity * v[own]
-            seen_v[own] += slope * slope
-            v[own] -= factor_rate * slope / np.sqrt(seen_v[own])
-    calibrate(model, [rows[n] for n in range(0, len(rows), 4)], labels[::4], odds)
-    return model
+            slope = g * (total - factors)
+            seen_v[own] += (slope * slope).mean(1, keepdims=True)
+            step = factor_rate / np.sqrt(seen_v[own])
+            factors = factors - step * slope
+            size = np.sqrt((factors * factors).sum(1, keepdims=True)) + 1e-12
+            v[own] = factors * np.maximum(1 - step * sparsity / size, 0)
+        yield model
 
 
-def calibrate(model: FactorizationMachine, rows: list[np.ndarray], labels: np.ndarray, odds: float) -> None:
+def calibrate(model: FactorizationMachine, rows: list[np.ndarray], labels: np.ndarray, odds: float) -> float:
     """Logistic regression of the label on the sum, with rows weighted as they occur among all labelled rows.
 
     The targets are a little inside 0 and 1, so that few rows, or rows of one label, give
-    no certainty.
+    no certainty. The loss on these rows is returned.
     """
-    text = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    z = model.raw(text, np.concatenate(rows) if len(text) else np.zeros(0, np.int64), len(rows))
+    parts = [rows[at:at + 100] for at in range(0, len(rows), 100)]
+    z = np.concatenate([model.raw(np.repeat(np.arange(len(p)), [len(r) for r in p]), np.concatenate(p), len(p)) for p in parts])
     n_toxic = labels.sum()
     target = np.where(labels == 1, (n_toxic + 1) / (n_toxic + 2), 1 / (len(labels) - n_toxic + 2))
     weight = np.where(labels == 1, odds, 1.0)
@@ -148,6 +167,8 @@ def calibrate(model: FactorizationMachine, rows: list[np.ndarray], labels: np.nd
         b -= 2 * g.sum()
     a = max(a, 1e-3)
     model.scale, model.shift = a / spread, b - a * center / spread
+    found = sigmoid(a * x + b)
+    return float(-(weight * (target * np.log(found) + (1 - target) * np.log(1 - found))).sum())
 
 
 def train(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "doc_id", text_col: str = "text",

@@ -108,6 +108,24 @@ def test_toxicity_learns_what_only_pairs_tell():
     assert right(model) < 0.8
 
 
+def test_toxicity_keeps_rare_terms_and_terms_that_tell_in_pairs(spark):
+    """A word in six texts, all toxic, half of all being so; and two words toxic where exactly one occurs."""
+    rng = random.Random(8)
+    rows = []
+    for n in range(1600):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rare = n in range(1, 24, 4)
+        words = ["qqa"] * a + ["zzb"] * b + ["wwc"] * rare + [f"f{rng.randrange(60)}" for _ in range(4)]
+        rows.append((n, " ".join(words), int(rare or a != b)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.lit(True))
+    rare, first, second = (model.slot[toxicity.distinct_terms([w])[0][0]][0] for w in ("wwc", "qqa", "zzb"))
+    assert rare >= 0 and model.weights[rare] > 0
+    assert model.factors[first] @ model.factors[second] < -1
+    found = toxicity.score(table, model).collect()
+    assert np.mean([r.predicted == r.toxic for r in found]) > 0.95
+
+
 def test_factorization_machine_equals_its_formula(judged):
     rng = np.random.default_rng(3)
     slot = np.full(1 << toxicity.BITS, -1)

@@ -16,14 +16,13 @@ from trawl.sources.shared import write_shared
 
 BITS = 18
 FACTORS = 8
-#: Rates of the factors of which the calibration rows choose one: the second learns pairs, the first leaves noise alone.
-FACTOR_RATES = (0.002, 0.02)
+#: Rates of the factors of which the calibration rows choose one: the higher learn pairs, the first leaves noise alone.
+FACTOR_RATES = (0.002, 0.02, 0.05)
 #: Labelled rows to fit to, of each label.
 PER_LABEL = 3000
 STEMS = (4, 5)
-#: Terms of the model at most, training documents that a term must be in, and standard deviations
-#: by which its number of toxic documents must differ from what chance would give.
-MOST_TERMS, LEAST_DOCS, LEAST_APART = 4096, 5, 4.0
+#: Training documents that a term of the model must be in.
+LEAST_DOCS = 5
 
 
 def terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -176,9 +175,10 @@ def train(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "doc_id",
     """A model of the labelled documents for which the condition ``trainable`` on the labels' id holds.
 
     It is fitted to at most ``per_label`` rows of either label, chosen by a hash of the id.
-    Its terms are those whose documents' share of toxic ones is significantly off the sample's,
-    the furthest ``MOST_TERMS`` if there are more; Spark counts them. Labels other than 0 and 1 are left out. Without any labels all
-    scores are 0; with one label only, all scores are that label.
+    Its terms are all those in ``LEAST_DOCS`` of these rows, whatever their labels, so that a term may tell only
+    together with another; Spark counts them. Terms whose weight and factors shrink to 0 leave the model.
+    The driver holds the terms of the sample's texts, 4 bytes each. Labels other than 0 and 1 are left out.
+    Without any labels all scores are 0; with one label only, all scores are that label.
     """
     usable = labels.where(trainable & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
@@ -189,23 +189,24 @@ def train(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "doc_id",
     sample = write_shared(
         texts.join(F.broadcast(chosen), "_id").limit(4 * per_label)
         .select("_id", "_label", found("_text").alias("f")).select("_id", "_label", "f.buckets"), "toxicity-sample")
-    counted = sample.select("_label", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
-        F.count("*").alias("n"), F.sum("_label").alias("hits"))
-    sizes = {r["_label"]: r["n"] for r in sample.groupBy("_label").agg(F.count("*").alias("n")).collect()}
-    n_rows, n_toxic = sum(sizes.values()), sizes.get(1, 0)
-    share = n_toxic / max(1, n_rows)
-    apart = F.abs(F.col("hits") - F.col("n") * share) / F.sqrt(F.col("n") * F.lit(share * (1 - share) + 1e-9))
-    kept = sorted(r["bucket"] for r in counted.where((F.col("n") >= LEAST_DOCS) & (apart >= LEAST_APART))
-                  .orderBy(apart.desc(), "bucket").limit(MOST_TERMS).collect())
-    slot = np.full(1 << BITS, -1, np.int64)
+    kept = sorted(r["bucket"] for r in sample.select(F.explode("buckets").alias("bucket")).groupBy("bucket")
+                  .agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_DOCS).collect())
+    slot = np.full(1 << BITS, -1, np.int32)
     slot[kept] = np.arange(len(kept))
-    listed = F.array(*map(F.lit, kept)) if kept else F.array().cast("array<int>")
-    rows = (sample.select("_id", "_label", F.array_intersect("buckets", listed).alias("buckets")).toArrow()
-            .sort_by([("_id", "ascending"), ("_label", "ascending")]))
-    own = [slot[np.asarray(b, np.int64)] for b in rows["buckets"].to_pylist()]
+    rows = sample.toArrow().sort_by([("_id", "ascending"), ("_label", "ascending")])
+    own = [slot[b.values.to_numpy()] for b in rows["buckets"]]
+    own = [r[r >= 0] for r in own]
     target = np.array(rows["_label"].to_pylist(), float)
+    n_rows, n_toxic = len(target), int(target.sum())
     odds = (prior.get(1, 0) / max(1, prior.get(0, 0))) / max(1e-9, n_toxic / max(1, n_rows - n_toxic))
-    return fit(own, target, slot, len(kept), odds)
+    return without_idle_terms(fit(own, target, slot, len(kept), odds))
+
+
+def without_idle_terms(model: FactorizationMachine) -> FactorizationMachine:
+    """The same model without the terms that add nothing."""
+    busy = (model.weights != 0) | model.factors.any(1)
+    place = np.append(np.where(busy, np.cumsum(busy) - 1, -1), -1)
+    return replace(model, slot=place[model.slot], weights=model.weights[busy], factors=model.factors[busy])
 
 
 def score(docs: DataFrame, model: FactorizationMachine, text_col: str = "text",

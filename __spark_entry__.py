@@ -32,6 +32,8 @@ except ImportError as missing:  # the folder may be gone, or left without its mo
 HOT_DF = oracle.HOT_DF
 LOOKUP_TERMS = oracle.LOOKUP_TERMS
 BLOCK_DOCS = oracle.BLOCK_DOCS
+# Ids in a block that a pruned search passes over.
+PRUNED_BLOCK = 64
 
 
 # --- inputs -------------------------------------------------------------------------------
@@ -200,6 +202,15 @@ def pageviews_map_max(s, d):
     return _pageviews(s, d, "max")
 
 
+def pageviews_map_last(s, d):
+    """Of an id's lines in a log of several files the last counts."""
+    path = shared_path(s, "pageviews")
+    lines = fx.pageview_lines(s, d, "event_id")
+    (lines.repartitionByRange(4, "event_id").sortWithinPartitions("event_id").select("value")
+     .write.option("compression", "bzip2").text(path))
+    return signals.pageview_map(signals.parse_pageviews(readers.read_pageviews(s, path, positions=True)), "last")
+
+
 def title_map(s, d):
     return _titles(s, d)
 
@@ -271,6 +282,23 @@ def search_bm25(s, d):
     return _rounded(found, "score").drop("title")
 
 
+def search_bm25_pruned(s, d):
+    """The ten best by BM25 over a saved index, passing over blocks of documents that cannot be among them."""
+    path = shared_path(s, "index")
+    store.save_index(_body(s, d), path, n_buckets=8, block_docs=PRUNED_BLOCK)
+    found = ranking.search_bm25(store.load_index(s, path), fx.queries(s, d), k=10)
+    return _rounded(found, "score").drop("title")
+
+
+def search_body_by_term(s, d):
+    """Body search by shuffle over postings that were saved bucketed by term and are not moved for the join."""
+    path = shared_path(s, "index")
+    store.save_index(_body(s, d), path, n_buckets=8, by_term=True)
+    found = ranking.search_body(store.load_index(s, path), fx.queries(s, d), number_of_docs(fx.documents(s, d)),
+                                broadcast_bytes=0)
+    return _rounded(found, "score").drop("title")
+
+
 def title_resolve(s, d):
     """Documents as results: those whose id is a page's get its title."""
     results = fx.documents(s, d).select(
@@ -320,6 +348,24 @@ def index_save_load(s, d):
     return _rounded(found, "score").drop("title")
 
 
+def _extended(s, d):
+    """The folder of a saved index to which further documents were added as a segment."""
+    path = shared_path(s, "index")
+    store.save_index(_body(s, d), path, n_buckets=8)
+    store.append_segment(indexing.index_of_tokens(fx.tokenised_benchmark(s, d)), path)
+    return path
+
+
+def index_segments(s, d):
+    """Statistics over a saved index and a segment added to it."""
+    return store.load_index(s, _extended(s, d)).term_stats
+
+
+def index_compacted(s, d):
+    """All postings of an index written anew from its segments."""
+    return store.compact_index(s, _extended(s, d), shared_path(s, "index")).postings
+
+
 def signals_save_load(s, d):
     path = shared_path(s, "signals")
     store.save_signals(path, _pagerank(s, d, 3), _pageviews(s, d), _titles(s, d))
@@ -327,24 +373,32 @@ def signals_save_load(s, d):
     return _rounded(titles.join(ranks, "id", "left").join(views, "id", "left"), "pagerank")
 
 
+def _judged(s, d):
+    """``(query, ids)``, the ids as strings."""
+    return (fx.qrels(s, d).join(fx.queries(s, d), "query_id").groupBy("query")
+            .agg(F.sort_array(F.collect_set(F.col("doc_id").cast("string"))).alias("ids")))
+
+
 def qrels_json(s, d):
+    """A judgement file with an object a line."""
     path = shared_path(s, "qrels")
-    queries = fx.queries(s, d)
-    judged = (fx.qrels(s, d).join(queries, "query_id").groupBy("query")
-              .agg(F.sort_array(F.collect_set(F.col("doc_id").cast("string"))).alias("ids")))
-    judged.select(F.to_json(F.create_map("query", "ids"))).write.text(path)
-    return readers.match_qrels(readers.read_qrels(s, path, one_object_per_line=True), queries)
+    _judged(s, d).select(F.to_json(F.create_map("query", "ids"))).write.text(path)
+    return readers.match_qrels(readers.read_qrels(s, path), fx.queries(s, d))
 
 
 def qrels_json_object(s, d):
-    """The judgement file as it is published: one object of all queries, each with all its ids."""
+    """Judgement files as they are published, each one object of many queries."""
     path = shared_path(s, "qrels-object")
-    queries = fx.queries(s, d)
-    judged = (fx.qrels(s, d).join(queries, "query_id").groupBy("query")
-              .agg(F.sort_array(F.collect_set(F.col("doc_id").cast("string"))).alias("ids")))
-    whole = judged.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("query", "ids")))).alias("value"))
-    whole.write.text(path)
-    return readers.match_qrels(readers.read_qrels(s, path), queries)
+    place = F.row_number().over(Window.partitionBy("file").orderBy("query"))
+    entries = (_judged(s, d).withColumn("file", F.pmod(F.xxhash64("query"), F.lit(4)).cast("int"))
+               .withColumn("place", place)
+               .select("file", "place", F.concat(F.when(F.col("place") == 1, "{").otherwise(", "),
+                                                F.regexp_extract(F.to_json(F.create_map("query", "ids")),
+                                                                 r"(?s)^\{(.*)\}$", 1)).alias("value")))
+    ends = entries.groupBy("file").agg((F.max("place") + 1).alias("place"), F.lit("}").alias("value"))
+    (entries.unionByName(ends).repartitionById(4, "file").sortWithinPartitions("file", "place").select("value")
+     .write.text(path))
+    return readers.match_qrels(readers.read_qrels(s, path), fx.queries(s, d))
 
 
 REGISTERED = [
@@ -352,13 +406,13 @@ REGISTERED = [
     document_frequency, collection_frequency, rare_term_cut, hot_term_cut, title_index, anchor_index,
     posting_lookup, posting_scan, posting_scan_ordered, index_add_docs,
     corpus_links, link_edges, link_vertices, pagerank_3, pagerank_10, pagerank_out_of_corpus,
-    pageviews_read, pageviews_parse, pageviews_map, pageviews_map_max, title_map, title_map_repeated, signal_max,
+    pageviews_read, pageviews_parse, pageviews_map, pageviews_map_max, pageviews_map_last, title_map, title_map_repeated, signal_max,
     pagerank_lookup, pageview_lookup,
     search_body, search_title, search_anchor, search_combined, search_combined_no_signals,
-    search_combined_large_batch, empty_queries, search_bm25,
+    search_combined_large_batch, empty_queries, search_bm25, search_bm25_pruned, search_body_by_term,
     title_resolve,
     precision_at_5, recall_at_30, f1_at_30, average_precision_40, results_quality, evaluate,
-    index_save_load, signals_save_load, qrels_json, qrels_json_object,
+    index_save_load, index_segments, index_compacted, signals_save_load, qrels_json, qrels_json_object,
 ]
 
 

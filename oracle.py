@@ -141,6 +141,12 @@ def _top(scores: str, k: int = K) -> str:
     FROM {scores}) WHERE rank <= {k})"""
 
 
+BM25 = """n AS (SELECT count(*) AS n FROM body_stats),
+gains AS (
+  SELECT q.query_id, p.doc_id, sum(
+    q.q_tf * ln(1 + (n.n - s.df + 0.5) / (s.df + 0.5)) * p.tf * 2.5 / (p.tf + 1.5)) AS score
+  FROM q_terms q JOIN body_stats s USING (term) JOIN body_postings p USING (term), n
+  GROUP BY q.query_id, p.doc_id)"""
 BODY_RUN = _with(BODY, QUERY_TERMS, _cosine("docs"), _top("body_scores"))
 
 
@@ -240,6 +246,8 @@ EVALUATION = _with(BODY, QUERY_TERMS, _cosine("docs"), _top("body_scores"), QREL
 def statements() -> dict[str, str]:
     plain = _with(f"{DOCS},\n" + _index("body", "docs"))
     body = _with(BODY)
+    added = _with("docs AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT -1 - item_id, text FROM benchmark)",
+                  _index("body", "docs"))
     pages = _with(PAGE_DOCS)
     tf = "SELECT term, doc_id, tf FROM {}_postings"
     run = "SELECT query_id, rank, doc_id, round(score, 6) AS score FROM top"
@@ -267,8 +275,9 @@ FROM body_stats s LEFT JOIN body_postings p ON s.term = p.term GROUP BY s.term,
 FROM body_postings GROUP BY term, doc_id // {BLOCK_DOCS}""",
         "posting_scan_ordered": _with(PAGE_DOCS, TITLE) + """SELECT term, doc_id, tf,
   CAST(row_number() OVER (PARTITION BY term ORDER BY doc_id) AS INTEGER) AS place FROM title_postings""",
-        "index_add_docs": _with("docs AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT -1 - item_id, text FROM benchmark)",
-                                _index("body", "docs")) + "SELECT term, df, term_total FROM body_stats",
+        "index_add_docs": added + "SELECT term, df, term_total FROM body_stats",
+        "index_segments": added + "SELECT term, df, term_total FROM body_stats",
+        "index_compacted": added + tf.format("body"),
         "corpus_links": _with(RAW_LINKS) + "SELECT src, CAST('0x' || substr(md5(href), 1, 8) AS BIGINT) AS dst, text FROM raw_links",
         "link_edges": _with(LINKS, EDGES) + "SELECT src, dst FROM edges",
         "link_vertices": "SELECT DISTINCT page_id AS id, page_id AS title FROM pages",
@@ -279,6 +288,8 @@ FROM body_postings GROUP BY term, doc_id // {BLOCK_DOCS}""",
         "pageviews_read": _with(PAIRS) + "SELECT id, views FROM pv_pairs",
         "pageviews_parse": _with(PAIRS) + "SELECT id, views FROM pv_pairs",
         "pageviews_map": _with(VIEWS) + "SELECT id, views FROM views",
+        "pageviews_map_last": """SELECT user_id AS id, arg_max(CAST(floor(value) AS BIGINT), event_id) AS views
+FROM events WHERE event_type <> 'error' GROUP BY user_id""",
         "pageviews_map_max": _with(PAIRS) + "SELECT id, max(views) AS views FROM pv_pairs GROUP BY id",
         "title_map": pages + "SELECT id, title FROM page_docs",
         "title_map_repeated": pages + "SELECT id % 10 AS id, min(title) AS title FROM page_docs GROUP BY id % 10",
@@ -296,12 +307,9 @@ FROM pages LEFT JOIN views ON id = page_id""",
         + _titled(rounded=True),
         "empty_queries": _with(BODY, ODD_TERMS, _cosine("docs"), _top("body_scores")) + run,
         "search_combined_no_signals": _with(LINKS, *all_indexes, ANCHOR, *scores, _blend(False), _top("blended")) + run,
-        "search_bm25": _with(BODY, QUERY_TERMS, """n AS (SELECT count(*) AS n FROM body_stats),
-gains AS (
-  SELECT q.query_id, p.doc_id, sum(
-    q.q_tf * ln(1 + (n.n - s.df + 0.5) / (s.df + 0.5)) * p.tf * 2.5 / (p.tf + 1.5)) AS score
-  FROM q_terms q JOIN body_stats s USING (term) JOIN body_postings p USING (term), n
-  GROUP BY q.query_id, p.doc_id)""", _top("gains")) + run,
+        "search_bm25": _with(BODY, QUERY_TERMS, BM25, _top("gains")) + run,
+        "search_bm25_pruned": _with(BODY, QUERY_TERMS, BM25, _top("gains", 10)) + run,
+        "search_body_by_term": BODY_RUN + run,
         "title_resolve": pages + """SELECT doc_id, coalesce(p.title, CAST(doc_id AS VARCHAR)) AS title
 FROM documents LEFT JOIN page_docs p ON p.id = doc_id""",
         "precision_at_5": metric("precision"),

@@ -226,3 +226,49 @@ def test_hot_documents_by_shuffle(spark, corpus, rows, asked, monkeypatch):
     check_combined(spark, corpus, rows, asked, ranks, views, broadcast_bytes=0)
     found = ranking.search_body(build_index(corpus, "text"), asked, 62, titles=titles)
     assert all(r.title == (f"T{r.doc_id}" if r.doc_id < 60 and r.doc_id % 2 == 0 else str(r.doc_id)) for r in found.collect())
+
+
+def test_large_batch_tokenises_once(spark, corpus, rows, asked, tmp_path, monkeypatch):
+    """The terms of the batch are written once for statistics and scores; other terms are not written."""
+    written = {}
+    original = ranking.write_shared
+
+    def remembered(df, name):
+        table = original(df, name)
+        written[name] = table
+        return table
+    monkeypatch.setattr(ranking, "write_shared", remembered)
+    counted = []
+    monkeypatch.setattr("trawl.operators.indexing.write_shared",
+                        lambda df, name: counted.append(original(df, name)) or counted[-1])
+    corpus.write.parquet(str(tmp_path / "c"))
+    index = build_index(spark.read.parquet(str(tmp_path / "c")), "text")
+    found = ranking.search_body(index, asked, 62, broadcast_bytes=0)
+    check(found, cosines(lists(rows, "text")))
+    assert text_scans(found) == 0 and len(counted) == 1
+    assert {r.term for r in counted[0].select("term").distinct().collect()} <= {t for q in ASKED for t in brute.words(q)}
+    reads = [t._jdf.queryExecution().analyzed().toString() for n, t in written.items() if n != "query-terms"]
+    assert reads and not any("text#" in plan for plan in reads)
+
+
+def jobs_started(spark, action):
+    """Spark jobs that building something started."""
+    tracker, group = spark.sparkContext.statusTracker(), f"watched-{id(action)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        found = action()
+        return found, [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_titles_start_no_search(spark, corpus, rows, asked, tmp_path, monkeypatch):
+    """Building a search with titles runs only the measure of the batch, and reading it scores once."""
+    titles = spark.createDataFrame([(i, f"T{i}") for i in range(0, 60, 2)], "id bigint, title string")
+    monkeypatch.setattr(ranking, "write_shared", None)
+    corpus.write.parquet(str(tmp_path / "c"))
+    index = build_index(spark.read.parquet(str(tmp_path / "c")), "text")
+    found, jobs = jobs_started(spark, lambda: ranking.search_body(index, asked, 62, titles=titles))
+    assert len(jobs) <= 2  # an aggregate of the queries, in up to two jobs
+    assert text_scans(found) == 1
+    assert all(r.title == (f"T{r.doc_id}" if r.doc_id < 60 and r.doc_id % 2 == 0 else str(r.doc_id)) for r in found.collect())

@@ -2,6 +2,7 @@ import bz2
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from trawl import ask, ordered_ids
 from trawl.operators import signals
@@ -85,3 +86,54 @@ def test_signal_round_trip(spark, tmp_path):
     store.save_signals(str(tmp_path / "s"), pagerank=ranks)
     assert store.load_signal(spark, str(tmp_path / "s"), "pagerank").collect() == ranks.collect()
     assert store.load_signal(spark, str(tmp_path / "s"), "titles") is None
+
+
+def log(spark, path, parts, **options):
+    """Lines in several files, in the order of ``id``."""
+    lines = spark.range(3000, numPartitions=parts).select(
+        F.concat_ws(" ", (F.col("id") % 7).cast("string"), F.lit("x"), F.col("id").cast("string")).alias("value"))
+    lines.write.options(**options).text(path)
+
+
+@pytest.mark.parametrize("options", [{}, {"compression": "bzip2"}])
+def test_last_line_of_an_id_counts(spark, tmp_path, options):
+    """Over files, and over splits of a file that are read by tasks of their own."""
+    log(spark, str(tmp_path / "log"), 3, **options)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)
+    try:
+        pairs = signals.parse_pageviews(readers.read_pageviews(spark, str(tmp_path / "log"), positions=True))
+        found = {r.id: r.views for r in signals.pageview_map(pairs, "last").collect()}
+        if not options:
+            assert readers.read_pageviews(spark, str(tmp_path / "log")).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {n % 7: n for n in range(2993, 3000)}
+    with pytest.raises(ValueError):
+        signals.pageview_map(pairs.drop("position"), "last")
+
+
+def test_large_judgement_object_is_read_by_several_tasks(spark, tmp_path):
+    judged = {f"query {i}": [str(i), str(i + 1)] for i in range(2000)}
+    (tmp_path / "q.json").write_text(json.dumps(judged))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 5000)
+    try:
+        qrels = readers.read_qrels(spark, str(tmp_path / "q.json"))
+        assert qrels.rdd.getNumPartitions() > 8
+        assert sorted(map(tuple, qrels.collect())) == sorted((q, int(i)) for q, ids in judged.items() for i in ids)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+ODD_JUDGEMENTS = [
+    {"a": [], "b [c] d": ["1"], "e": ["2", "12}"], "f": []}, {"with \"] a mark": ["3"], "g": ["4"]}, {}, {"n": [5, 6], "m": ["7"]},
+    {"ends in \\": ["8"], "{": ["9"], "}": ["10"], ",": ["11"]}, {"x": ["a\\"], "y": ["12", "1\\\\"]}]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("judged", ODD_JUDGEMENTS)
+def test_odd_judgement_objects(spark, tmp_path, judged, indent):
+    (tmp_path / "q.json").write_text(json.dumps(judged, indent=indent) + "\n")
+    found = readers.read_qrels(spark, str(tmp_path / "q.json")).collect()
+    assert sorted(map(tuple, found)) == sorted((q, int(i)) for q, ids in judged.items() for i in ids if str(i).isdigit())

@@ -89,11 +89,11 @@ def nested_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages", "page_id").select(*_page_columns(), numbered.alias("anchor_text"))
 
 
-def pageview_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(value)``, where error events have a first field that is no id."""
+def pageview_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """``(value)`` and further columns, where error events have a first field that is no id."""
     first = F.when(F.col("event_type") == "error", F.lit("en.wikipedia")).otherwise(F.col("user_id").cast("string"))
     return table(spark, sf_dir, "events").select(
-        F.concat_ws(" ", first, "event_type", F.floor("value").cast("string")).alias("value"))
+        F.concat_ws(" ", first, "event_type", F.floor("value").cast("string")).alias("value"), *more)
 
 
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,10 @@ class Index:
     ``df >= max_df`` are known, with their statistics, but have no postings. By default
     nothing is cut.
     ``stored_stats`` and ``n_buckets`` are set for an index loaded from files, whose
-    ``counted`` is already cut and has the partition column ``bucket``.
+    ``counted`` is already cut and has the partition column ``bucket``. If they were saved with it, ``blocks``
+    holds ``(term, block, n, top_tf)``, the number of postings and the largest count of each term in each ``block_docs``
+    consecutive ids, and ``by_term`` the postings once more as tables that are bucketed by term. Terms with
+    more postings than one task should read are left out of those and stand in ``apart``.
     """
 
     counted: DataFrame
@@ -36,6 +39,10 @@ class Index:
     max_df: int | None = None
     stored_stats: DataFrame | None = None
     n_buckets: int | None = None
+    blocks: DataFrame | None = None
+    block_docs: int | None = None
+    by_term: tuple[DataFrame, ...] = ()
+    apart: DataFrame | None = None
 
     @property
     def term_stats(self) -> DataFrame:
@@ -103,8 +110,13 @@ class Index:
         literals = [quoted(t) for t in wanted]
         buckets = [f"CAST(pmod(xxhash64({t}), {self.n_buckets}) AS INT)" for t in literals]
         chosen = F.expr(f"bucket IN ({', '.join(buckets)}) AND term IN ({', '.join(literals)})")
-        return replace(self, counted=self.counted.where(chosen),
-                       stored_stats=self.stored_stats.where(chosen))
+        return replace(self, counted=self.counted.where(chosen), stored_stats=self.stored_stats.where(chosen),
+                       blocks=None if self.blocks is None else self.blocks.where(chosen))
+
+
+def block_of(doc_id: str, block_docs: int) -> Column:
+    """The number of a document's block of consecutive ids, also of negative ones."""
+    return F.expr(f"({doc_id} - pmod({doc_id}, {block_docs})) div {block_docs}")
 
 
 def term_bucket(term, n_buckets: int):
@@ -153,8 +165,7 @@ def index_of_tokens(docs: DataFrame, min_df: int = 0, max_df: int | None = None)
 
 def add_docs(index: Index, docs: DataFrame) -> Index:
     """The index with further tokenised documents; statistics follow from the joint postings."""
-    if index.stored_stats is not None and index.min_df > 0:
-        raise ValueError("a saved index without its rare terms cannot be extended: build it with min_df=0")
+    check_extensible(index)
     added = token_frequencies(docs)
     counted = index.counted.select("term", "doc_id", "tf").unionByName(added)
     if index.stored_stats is None:
@@ -165,6 +176,11 @@ def add_docs(index: Index, docs: DataFrame) -> Index:
     return Index(counted, index.min_df, index.max_df, stats)
 
 
+def check_extensible(index: Index) -> None:
+    if index.stored_stats is not None and index.min_df > 0:
+        raise ValueError("a saved index without its rare terms cannot be extended: build it with min_df=0")
+
+
 def posting_list(index: Index, term: str) -> DataFrame:
     """``(doc_id, tf)`` of one term by doc_id; empty for an unknown term."""
     return posting_lists(index, [term]).select("doc_id", "tf").orderBy("doc_id")
@@ -196,5 +212,5 @@ def posting_blocks(index: Index, block_docs: int = BLOCK_DOCS) -> DataFrame:
     block order they are the whole list, and no array exceeds ``block_docs`` entries.
     """
     return (index.postings
-            .groupBy("term", F.expr(f"(doc_id - pmod(doc_id, {block_docs})) div {block_docs}").alias("block"))
+            .groupBy("term", block_of("doc_id", block_docs).alias("block"))
             .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))

@@ -29,12 +29,18 @@ def fits_broadcast(df: DataFrame, text_col: str, limit: int = BROADCAST_BYTES) -
 
 def tokens_fit_broadcast(df: DataFrame, text_col: str, copies: int = 1,
                          limit: int = BROADCAST_BYTES) -> bool:
-    """Whether one row per token of ``text_col`` would stay under ``limit``.
+    """Whether one row per token of ``text_col`` would stay under ``limit``."""
+    return token_bytes(rows_and_bytes(df, text_col)[1], copies) <= limit
+
+
+def rows_and_bytes(df: DataFrame, text_col: str) -> tuple[int, int]:
+    size = df.agg(F.count("*").alias("n"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
+    return size["n"], size["bytes"] or 0
 
-    A token takes 3 bytes of text or more, so the text's length bounds the rows.
-    """
-    text_bytes = df.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
-    return copies * (text_bytes + text_bytes // 3 * ROW_BYTES) <= limit
+
+def token_bytes(text_bytes: int, copies: int = 1) -> int:
+    """What a row per token takes at most. A token takes 3 bytes of text or more, so the text's length bounds the rows."""
+    return copies * (text_bytes + text_bytes // 3 * ROW_BYTES)
 
 
 def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], loads: DataFrame,
@@ -48,11 +54,7 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], loads: DataFram
     total / MAX_SPLIT_KEYS, so fewer than MAX_SPLIT_KEYS keys can lie above it
     and their list is safe to broadcast.
     """
-    total = loads.agg(F.sum("load")).scalar()
-    cut = F.greatest(F.lit(split_load), F.ceil(total / MAX_SPLIT_KEYS))
-    heavy = F.broadcast(
-        loads.where(F.col("load") > cut)
-        .select(*on, F.ceil(F.col("load") / cut).cast("int").alias("_parts")))
+    heavy = heavy_keys(loads, on, split_load)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     # Rows with a NULL key meet nothing, so they may go anywhere.
     unmatched = reduce(Column.__or__, [F.col(c).isNull() for c in on])
@@ -64,6 +66,14 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], loads: DataFram
     return divided.join(repeated, [*on, "_part"], how).drop("_part")
 
 
+def heavy_keys(loads: DataFrame, on: list[str], split_load: int = SPLIT_LOAD) -> DataFrame:
+    """``(*on, _parts)`` of the keys above the cut-off, fewer than MAX_SPLIT_KEYS, to be broadcast."""
+    total = loads.agg(F.sum("load")).scalar()
+    cut = F.greatest(F.lit(split_load), F.ceil(total / MAX_SPLIT_KEYS))
+    return F.broadcast(loads.where(F.col("load") > cut)
+                       .select(*on, F.ceil(F.col("load") / cut).cast("int").alias("_parts")))
+
+
 def lookup_join(rows: DataFrame, table: DataFrame, on: str, spread: list[str], how: str = "inner") -> DataFrame:
     """Join to a table with one row per key, when any share of ``rows`` may have the same key."""
     loads = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("load"))

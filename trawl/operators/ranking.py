@@ -12,6 +12,7 @@ by the number of pairs they yield.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from trawl.functions import scoring
 from trawl.functions.text import count_tokens, terms
-from trawl.operators.indexing import Index
-from trawl.operators.joins import BROADCAST_BYTES, ROW_BYTES, lookup_join, spread_join, tokens_fit_broadcast
+from trawl.operators.indexing import Index, block_of
+from trawl.operators.joins import (BROADCAST_BYTES, ROW_BYTES, fits_broadcast, heavy_keys, lookup_join, rows_and_bytes,
+                                   spread_join, token_bytes)
 from trawl.operators.signals import top_of
 from trawl.sources.shared import write_shared
 
@@ -30,6 +32,8 @@ WEIGHTS = {BODY: 0.60, TITLE: 0.20, ANCHOR: 0.10, "pagerank": 0.05, "pageviews":
 K1, B = 1.5, 0.75
 # A batch with at most this many distinct terms has them pushed into the scan of a saved index.
 PUSHED_TERMS = 1_000
+# Ranges of ids pushed into the scan when whole blocks are passed over.
+PUSHED_RANGES = 100
 
 
 def query_terms(queries: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
@@ -45,7 +49,7 @@ def search_body(index: Index, queries: DataFrame, n_docs: Column | int, k: int |
     """TF-IDF cosine over the body. Both norms run over the query's terms only."""
     batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes)
     scores = batch.score(_cosine_weights(batch.known_terms(), n_docs), _cosine_sums())
-    return resolve_titles(top_k(scores.select("query_id", "doc_id", _cosine().alias("score")), k), titles)
+    return batch.titled(top_k(scores.select("query_id", "doc_id", _cosine().alias("score")), k), titles, k)
 
 
 def search_binary(index: Index | None, queries: DataFrame, k: int | None = TOP_K,
@@ -57,7 +61,7 @@ def search_binary(index: Index | None, queries: DataFrame, k: int | None = TOP_K
         return resolve_titles(top_k(empty, k), titles)
     batch = _Batch({TITLE: index}, queries, stopwords, broadcast_bytes)
     scores = batch.score(batch.known_terms(), [F.count("*").cast("double").alias("score")])
-    return resolve_titles(top_k(scores, k), titles)
+    return batch.titled(top_k(scores, k), titles, k)
 
 
 search_title = search_anchor = search_binary
@@ -66,19 +70,27 @@ search_title = search_anchor = search_binary
 def search_bm25(index: Index, queries: DataFrame, k1: float = K1, b: float = B,
                 n: Column | int | None = None, k: int | None = TOP_K,
                 titles: DataFrame | None = None, stopwords: Iterable[str] | None = None,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                broadcast_bytes: int = BROADCAST_BYTES, prune: bool = True) -> DataFrame:
     """BM25 with fixed document length. ``n`` is the number of terms with postings unless given.
 
     ``b`` is accepted for compatibility: with every length taken as average it has no effect.
     With ``k=None`` all matches are returned, their rank left empty.
+
+    Over an index that was saved with the largest count of each term and block, ``prune`` passes over the blocks
+    whose documents cannot be among a query's best ``k``. The result is the same. It takes two passes, the
+    first of which runs when the search is called, not when its result is read.
     """
     if n is None:
         index = index.materialised()
         n = index.posted_terms.agg(F.count("*")).scalar()
     batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes)
     weights = batch.known_terms().withColumn("weight", F.col("q_tf") * scoring.bm25_idf(F.col("df"), n))
-    gain = scoring.bm25_gain(F.col("weight"), F.col("tf"), k1)
-    return resolve_titles(top_k(batch.score(weights, [F.sum(gain).alias("score")]), k), titles)
+    gain = lambda tf: scoring.bm25_gain(F.col("weight"), F.col(tf), k1)
+    if prune and k is not None and batch.small and index.blocks is not None:
+        found = _Blocks(batch, weights, gain, k, broadcast_bytes).best()
+        if found is not None:
+            return batch.titled(found, titles, k)
+    return batch.titled(top_k(batch.score(weights, [F.sum(gain("tf")).alias("score")]), k), titles, k)
 
 
 def search(body: Index, title: Index, anchor: Index | None, queries: DataFrame, n_docs: Column | int,
@@ -109,7 +121,7 @@ def search(body: Index, title: Index, anchor: Index | None, queries: DataFrame,
         blend[name] = F.when(top != 0, F.lit(WEIGHTS[name])).otherwise(F.lit(0.0))
     total = reduce(Column.__add__, blend.values())
     score = reduce(Column.__add__, [blend[name] / total * parts[name] for name in parts])
-    return resolve_titles(top_k(scored.select("query_id", "doc_id", score.alias("score")), k), titles)
+    return batch.titled(top_k(scored.select("query_id", "doc_id", score.alias("score")), k), titles, k)
 
 
 def top_k(scores: DataFrame, k: int | None) -> DataFrame:
@@ -134,20 +146,25 @@ def top_k(scores: DataFrame, k: int | None) -> DataFrame:
             .select("query_id", "rank", "doc_id", "score"))
 
 
-def resolve_titles(results: DataFrame, titles: DataFrame | None) -> DataFrame:
+def resolve_titles(results: DataFrame, titles: DataFrame | None, most_rows: int | None = None) -> DataFrame:
     """Add the title, or the id as text where there is none.
 
-    Only titles of documents among the results are moved. A document in a large share of the
-    results is split.
+    Only titles of documents among the results are moved. Results known to have few enough rows, ``most_rows``
+    at most, have their ids broadcast, and nothing is run before the table is read. Others are
+    written first, and a document in a large share of them is split.
     """
     fallback = F.col("doc_id").cast("string")
     if titles is None:
         named = results.withColumn("title", fallback)
+    elif most_rows is not None and most_rows * ROW_BYTES <= BROADCAST_BYTES:
+        # Counting over the score makes the ids read the very exchange that ends the search, so that it runs once.
+        ids = results.groupBy("doc_id").agg(F.count_if(F.col("score") < float("inf")).alias("n")).where("n >= 0")
+        wanted = (titles.join(F.broadcast(ids.select(F.col("doc_id").alias("id"))), "id", "left_semi")
+                  .select(F.col("id").alias("doc_id"), "title"))
+        named = results.join(wanted, "doc_id", "left").withColumn("title", F.coalesce("title", fallback))
     else:
         results = write_shared(results, "results")
         ids = results.select(F.col("doc_id").alias("id")).distinct()
-        if results.count() * ROW_BYTES <= BROADCAST_BYTES:
-            ids = F.broadcast(ids)
         wanted = titles.join(ids, "id", "left_semi").select(F.col("id").alias("doc_id"), "title")
         named = (lookup_join(results, wanted, "doc_id", ["query_id"], "left")
                  .withColumn("title", F.coalesce("title", fallback)))
@@ -182,13 +199,34 @@ class _Batch:
     def __init__(self, indexes: dict[str, Index], queries: DataFrame,
                  stopwords: Iterable[str] | None, broadcast_bytes: int):
         self.terms = query_terms(queries, stopwords)
-        self.small = tokens_fit_broadcast(queries, "query", len(indexes), broadcast_bytes)
+        self.n_queries, text_bytes = rows_and_bytes(queries, "query")
+        self.small = token_bytes(text_bytes, len(indexes)) <= broadcast_bytes
         self.indexes = self._push_terms(indexes) if self.small else indexes
+        if not self.small:
+            self.terms = write_shared(self.terms, "query-terms")
+            self.indexes = self._of_asked_terms()
         self.postings = _by_field({f: i.counted.select("term", "doc_id", "tf") for f, i in self.indexes.items()})
         if self.small:
             wanted = F.broadcast(self.terms.select("term"))
             self.postings = self.postings.join(wanted, "term", "left_semi").repartition("doc_id")
 
+    def titled(self, results: DataFrame, titles: DataFrame | None, k: int | None) -> DataFrame:
+        return resolve_titles(results, titles, None if k is None else k * self.n_queries)
+
+    def _of_asked_terms(self) -> dict[str, Index]:
+        """Unsaved indices with their counted terms written, so that statistics and scores tokenise once.
+
+        Where the batch's distinct terms are few enough to broadcast, no others are written.
+        """
+        asked = self.terms.select("term").distinct()
+        if all(i.n_buckets is not None for i in self.indexes.values()):
+            return self.indexes
+        if fits_broadcast(asked, "term"):
+            return {f: i if i.n_buckets is not None else
+                    replace(i, counted=i.counted.join(F.broadcast(asked), "term", "left_semi")).materialised()
+                    for f, i in self.indexes.items()}
+        return {f: i.materialised() for f, i in self.indexes.items()}
+
     def known_terms(self) -> DataFrame:
         """``(field, term, df, query_id, q_len, q_tf)`` for the query terms an index knows."""
         if not self.small:
@@ -224,13 +262,38 @@ class _Batch:
             return _with_signals(self.postings.join(F.broadcast(weights), on).groupBy(*pair).agg(*sums), signals)
         weights = write_shared(weights, "query-weights")
         loads = weights.groupBy(*on).agg((F.max("df").cast("double") * F.count("*")).alias("load"))
-        summed = spread_join(self.postings, weights, on, loads, ["doc_id"]).groupBy(*pair).agg(*sums)
+        if all(i.by_term for i in self.indexes.values()):
+            matched = self._join_by_term(weights, loads)
+        else:
+            matched = spread_join(self.postings, weights, on, loads, ["doc_id"])
+        summed = matched.groupBy(*pair).agg(*sums)
         if signals:
             summed = write_shared(summed, "sums")
         for name, table in signals.items():
             summed = lookup_join(summed, _signal(name, table), "doc_id", ["query_id"], "left")
         return summed
 
+    def _join_by_term(self, weights: DataFrame, loads: DataFrame) -> DataFrame:
+        """Postings that lie bucketed by term, joined there; only weights are moved to them.
+
+        Terms that make more pairs than a task should are taken out, and joined by shuffle with those that were
+        saved apart.
+        """
+        on = ["field", "term"]
+        heavy = heavy_keys(loads, on).drop("_parts")
+        calm, busy = weights.join(heavy, on, "left_anti"), []
+        parts = []
+        for field, index in self.indexes.items():
+            of_field = calm.where(F.col("field") == field)
+            own = heavy.where(F.col("field") == field).select("term")
+            for table in index.by_term:
+                light = table.join(F.broadcast(own), "term", "left_anti")
+                parts.append(light.join(of_field, "term"))
+                busy.append(table.join(F.broadcast(own), "term", "left_semi").withColumn("field", F.lit(field)))
+            busy.append(index.apart.withColumn("field", F.lit(field)))
+        parts.append(spread_join(reduce(DataFrame.unionByName, busy), weights, on, loads, ["doc_id"]))
+        return reduce(DataFrame.unionByName, parts)
+
     def _limit(self, name: str) -> Column:
         return F.element_at(F.create_map(*[F.lit(x) for f, i in self.indexes.items() for x in (f, getattr(i, name))]),
                             F.col("field")).cast("bigint")
@@ -245,6 +308,80 @@ class _Batch:
         return {f: i.restricted_to(wanted) for f, i in indexes.items()}
 
 
+class _Blocks:
+    """The search for the best ``k`` documents of each query that passes over blocks of documents.
+
+    The sum of what each term can add at most within a block bounds the scores of its documents. Blocks with the highest
+    bounds that hold ``k`` matches for certain are scored first; the k-th best score found there is one that a document
+    must reach, so only the blocks whose bounds do are scored after them. Documents are in one block each, so
+    scores are whole.
+    """
+
+    # Bounds and scores are sums in different orders.
+    SLACK = 1e-6
+
+    def __init__(self, batch: _Batch, weights: DataFrame, gain, k: int, broadcast_bytes: int):
+        limit, index = batch._limit("max_df"), batch.indexes[BODY]
+        self.index, self.gain, self.k, self.broadcast_bytes = index, gain, k, broadcast_bytes
+        self.weights = weights.where(limit.isNull() | (F.col("df") < limit)).select("query_id", "term", "weight")
+        most = F.greatest(F.lit(0.0), gain("top_tf"))
+        self.bounds = write_shared(
+            index.blocks.join(F.broadcast(self.weights), "term").groupBy("query_id", "block")
+            .agg(F.sum(most).alias("bound"), F.max("n").alias("docs"), F.count("*").alias("terms")), "bounds")
+
+    def best(self) -> DataFrame | None:
+        """``(query_id, rank, doc_id, score)``; None if the blocks and terms are too many to broadcast."""
+        size = self.bounds.agg(F.sum("terms").alias("n")).first()["n"] or 0
+        if size * ROW_BYTES > self.broadcast_bytes:
+            return None
+        first, others = self.first_blocks(), None
+        seen = write_shared(top_k(self.scores(first), self.k), "first-best").drop("rank")
+        reached = self.reached(seen)
+        others = self.others(first, reached)
+        return top_k(seen.unionByName(self.scores(others)), self.k)
+
+    def first_blocks(self) -> DataFrame:
+        """``(query_id, block)`` of the highest bounds, until they hold k matches; k of them do for certain."""
+        order = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "block")
+        leading = self.bounds.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= self.k)
+        before = F.sum("docs").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        return leading.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < self.k).select(
+            "query_id", "block")
+
+    def reached(self, seen: DataFrame) -> DataFrame:
+        """``(query_id, least)``: the k-th best score of the queries that have k."""
+        return (seen.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+                .where(F.col("n") >= self.k).select("query_id", "least"))
+
+    def others(self, first: DataFrame, reached: DataFrame) -> DataFrame:
+        """``(query_id, block)`` of the blocks left whose bounds reach the score."""
+        slack = self.SLACK * (1 + F.abs("least"))
+        left = self.bounds.join(reached, "query_id", "left").where(
+            F.col("least").isNull() | (F.col("bound") >= F.col("least") - slack))
+        return left.join(first, ["query_id", "block"], "left_anti").select("query_id", "block")
+
+    def scores(self, chosen: DataFrame) -> DataFrame:
+        """``(query_id, doc_id, score)`` of all documents in the chosen blocks of each query."""
+        chosen = write_shared(chosen, "blocks")
+        wanted = chosen.join(F.broadcast(self.weights), "query_id")
+        block = block_of("doc_id", self.index.block_docs).alias("block")
+        postings = self.index.counted.where(self._ranges(chosen)).select("term", "doc_id", "tf", block)
+        matched = postings.join(F.broadcast(wanted), ["term", "block"])
+        return matched.groupBy("query_id", "doc_id").agg(F.sum(self.gain("tf")).alias("score"))
+
+    def _ranges(self, chosen: DataFrame) -> Column:
+        """The chosen blocks' ids as a condition for the scan, where they make few ranges."""
+        most = self.k * PUSHED_RANGES
+        blocks = sorted(r["block"] for r in chosen.select("block").distinct().limit(most + 1).collect())
+        starts = [b for b, before in zip(blocks, [None, *blocks]) if before is None or b != before + 1]
+        if len(blocks) > most or len(starts) > PUSHED_RANGES:
+            return F.lit(True)
+        ends = [b for b, after in zip(blocks, [*blocks[1:], None]) if after is None or b != after - 1]
+        size, doc = self.index.block_docs, F.col("doc_id")
+        ranges = [doc.between(a * size, (b + 1) * size - 1) for a, b in zip(starts, ends)]
+        return reduce(Column.__or__, ranges, F.lit(False))
+
+
 def _by_field(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [t.withColumn("field", F.lit(f)) for f, t in tables.items()])
 

@@ -14,14 +14,15 @@ GROUPED_PATTERN = r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$"
 def parse_pageviews(lines: DataFrame) -> DataFrame:
     """``(id, views)`` from lines whose first and third space-separated fields are integers.
 
-    Every other line is dropped.
+    Every other line is dropped. The ``position`` of lines that have one is kept.
     """
-    fields = lines.select(F.split("value", " ").alias("f"))
+    place = [c for c in ("position",) if c in lines.columns]
+    fields = lines.select(F.split("value", " ").alias("f"), *place)
     pair = F.struct(_integer(1).alias("id"), _integer(3).alias("views"))
     # As a generator the check stays above the split; as a filter it would be pushed below and
     # repeat the split for every reference to a field.
     whole = F.filter(F.array(pair), lambda p: p["id"].isNotNull() & p["views"].isNotNull())
-    return (fields.select(F.explode(whole).alias("p")).select("p.id", "p.views")
+    return (fields.select(F.explode(whole).alias("p"), *place).select("p.id", "p.views", *place)
             .where(F.col("id").isNotNull() & F.col("views").isNotNull()))
 
 
@@ -33,7 +34,16 @@ def _integer(position: int) -> Column:
 
 
 def pageview_map(pairs: DataFrame, on_duplicate: str = "sum") -> DataFrame:
-    """One row per id; values of a repeated id are summed or the largest is kept."""
+    """One row per id; values of a repeated id are summed, or the largest or the last is kept.
+
+    The last is that of the largest ``position``, which lines read with positions have. Of equal positions, as
+    rows that were copied have, the larger value counts.
+    """
+    if on_duplicate == "last":
+        if "position" not in pairs.columns:
+            raise ValueError("the last of several lines is known only if they are read with positions")
+        last = F.max(F.struct("position", "views"))
+        return pairs.groupBy("id").agg(last.alias("l")).select("id", "l.views")
     merge = {"sum": F.sum, "max": F.max}[on_duplicate]
     return pairs.groupBy("id").agg(merge("views").alias("views"))
 

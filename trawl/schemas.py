@@ -31,6 +31,20 @@ INDEX_INFO = T.StructType([
     T.StructField("max_df", T.LongType()),
     T.StructField("n_buckets", T.IntegerType()),
     T.StructField("complete", T.BooleanType()),
+    T.StructField("block_docs", T.LongType()),
+    T.StructField("by_term", T.BooleanType()),
+])
+
+BLOCKS = T.StructType([
+    T.StructField("term", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("top_tf", T.IntegerType()),
+])
+
+MANIFEST = T.StructType([
+    T.StructField("segment", T.StringType()),
+    T.StructField("place", T.IntegerType()),
 ])
 
 PAGERANK = T.StructType([

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.errors import AnalysisException
@@ -10,28 +13,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl import schemas
-from trawl.operators.indexing import Index, cut_postings, term_bucket
+from trawl.functions.text import quoted
+from trawl.operators.indexing import Index, block_of, check_extensible, cut_postings, term_bucket
 from trawl.operators.joins import fits_broadcast
 
 N_BUCKETS = 124
 SLICE_POSTINGS = 50_000_000
 
 _BUCKET = T.StructField("bucket", T.IntegerType())
+_VERSION = T.StructField("version", T.IntegerType())
 
 
 def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
-               slice_postings: int = SLICE_POSTINGS, mode: str = "error") -> None:
+               slice_postings: int = SLICE_POSTINGS, mode: str = "error",
+               block_docs: int | None = None, by_term: bool = False) -> None:
     """Write statistics, then postings, one folder per term bucket, sorted by term and doc_id.
 
     A bucket with more than ``slice_postings`` postings, be they of one term, is
     divided by document into slices, each written by one task. ``info`` goes first, marked
     as incomplete, and again last: a save that broke off is never loaded.
 
+    With ``block_docs`` the largest count of each term in each block of so many ids is saved, by which searches
+    pass over blocks. With ``by_term`` the postings are saved once more, bucketed by term, so that
+    large batches join them where they are. Segments added to an index that is overwritten are forgotten.
+
     The counted terms are written before all else, as they are read twice and tokenising
     costs far more than reading its result back.
     """
     spark = index.counted.sparkSession
-    _write_info(index, path, n_buckets, False, mode)
+    info = (index.min_df, index.max_df, n_buckets, block_docs, by_term)
+    _write_info(spark, info, path, False, mode)
     index, bucket = index.materialised(), term_bucket(F.col("term"), n_buckets)
     (index.term_stats.withColumn("bucket", bucket)
      .repartitionById(n_buckets, "bucket").sortWithinPartitions("term")
@@ -53,37 +64,168 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
      .repartitionById(firsts[-1], slice_id)
      .sortWithinPartitions("bucket", "term", "doc_id")
      .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
-    _write_info(index, path, n_buckets, True, "overwrite")
+    saved = _read(spark, f"{path}/postings", schemas.POSTINGS)
+    if block_docs is not None:
+        _save_blocks(saved, path, n_buckets, block_docs, mode)
+    if by_term:
+        _save_by_term(saved, stats.where(F.col("df") > slice_postings), path, n_buckets, mode)
+    if segments_of(spark, path)[1]:
+        _write_manifest(spark, path, [])
+    _write_info(spark, info, path, True, "overwrite")
+
+
+def _save_blocks(postings: DataFrame, path: str, n_buckets: int, block_docs: int, mode: str) -> None:
+    """Counted where the postings lie, as those of a term and block lie side by side."""
+    blocks = (postings.groupBy("bucket", "term", block_of("doc_id", block_docs).alias("block"))
+              .agg(F.count("*").alias("n"), F.max("tf").alias("top_tf")))
+    (blocks.repartitionById(n_buckets, "bucket").sortWithinPartitions("bucket", "term", "block")
+     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/blocks"))
+
+
+def _save_by_term(postings: DataFrame, large: DataFrame, path: str, n_buckets: int, mode: str) -> None:
+    """Bucketed by term, without the ``large`` terms, of which there are fewer than 1 / slice_postings of all postings."""
+    spark = postings.sparkSession
+    apart = F.broadcast(large.select("term")) if fits_broadcast(large, "term") else large.select("term")
+    (postings.join(apart, "term", "left_semi").select("term", "doc_id", "tf")
+     .write.mode(mode).parquet(f"{path}/apart"))
+    name = _table_name()
+    (postings.join(apart, "term", "left_anti").select("term", "doc_id", "tf")
+     .repartition(n_buckets, "term").sortWithinPartitions("term", "doc_id")
+     .write.mode(mode).format("parquet").option("path", f"{path}/by_term")
+     .bucketBy(n_buckets, "term").sortBy("term").saveAsTable(name))
+    # The catalog's entry is made anew by each session that loads the index; the files stay.
+    spark.sql(f"DROP TABLE {name}")
+
+
+def _table_name() -> str:
+    return f"postings_{uuid.uuid4().hex}"
+
 
+def _read_by_term(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
+    name = _table_name()
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.POSTINGS.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (term) SORTED BY (term) "
+              f"INTO {n_buckets} BUCKETS LOCATION {quoted(path)}")
+    return spark.table(name)
 
-def _write_info(index: Index, path: str, n_buckets: int, complete: bool, mode: str) -> None:
-    row = (index.min_df, index.max_df, n_buckets, complete)
-    info = index.counted.sparkSession.createDataFrame([row], schemas.INDEX_INFO)
-    info.coalesce(1).write.mode(mode).parquet(f"{path}/info")
+
+def _write_info(spark: SparkSession, info: tuple, path: str, complete: bool, mode: str) -> None:
+    row = (*info[:3], complete, *info[3:])
+    spark.createDataFrame([row], schemas.INDEX_INFO).coalesce(1).write.mode(mode).parquet(f"{path}/info")
 
 
 def load_index(spark: SparkSession, path: str, fallback: str | None = None,
                missing_ok: bool = False) -> Index | None:
     """Load a saved index, from ``fallback`` if there is none, or an incomplete one, at ``path``.
 
+    Segments added to it are loaded with it; statistics are added up by term.
     If neither is there, None is returned with ``missing_ok``, and searches over it find nothing.
     """
     for candidate in [path] if fallback is None else [path, fallback]:
-        try:
-            info = spark.read.schema(schemas.INDEX_INFO).parquet(f"{candidate}/info").first()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        if info is None or not info["complete"]:
-            continue
-        return Index(_read(spark, f"{candidate}/postings", schemas.POSTINGS), info["min_df"], info["max_df"],
-                     _read(spark, f"{candidate}/term_stats", schemas.TERM_STATS), info["n_buckets"])
+        index = _load_segment(spark, candidate)
+        if index is not None:
+            segments = segments_of(spark, candidate)[1]
+            merged = reduce(_merged, [_load_segment(spark, f"{candidate}/{s}") for s in segments], index)
+            return _without_hot(merged) if segments and index.max_df is not None else merged
     if missing_ok:
         return None
     raise FileNotFoundError(f"no index at {path}" + (f" or {fallback}" if fallback else ""))
 
 
+def _load_segment(spark: SparkSession, path: str) -> Index | None:
+    info = _read_if_there(spark, f"{path}/info", schemas.INDEX_INFO)
+    info = None if info is None else info.first()
+    if info is None or not info["complete"]:
+        return None
+    index = Index(_read(spark, f"{path}/postings", schemas.POSTINGS), info["min_df"], info["max_df"],
+                  _read(spark, f"{path}/term_stats", schemas.TERM_STATS), info["n_buckets"])
+    if info["block_docs"] is not None:
+        index = replace(index, blocks=_read(spark, f"{path}/blocks", schemas.BLOCKS), block_docs=info["block_docs"])
+    if info["by_term"]:
+        index = replace(index, by_term=(_read_by_term(spark, f"{path}/by_term", info["n_buckets"]),),
+                        apart=spark.read.schema(schemas.POSTINGS).parquet(f"{path}/apart"))
+    return index
+
+
+def _merged(index: Index, added: Index) -> Index:
+    """Both as one. Statistics are grouped by bucket too, so that a choice of buckets and terms is pushed below."""
+    stats = (index.stored_stats.unionByName(added.stored_stats).groupBy("term", "bucket")
+             .agg(F.sum("df").alias("df"), F.sum("term_total").alias("term_total")))
+    blocks = None
+    if index.blocks is not None and added.blocks is not None:
+        blocks = (index.blocks.unionByName(added.blocks).groupBy("term", "bucket", "block")
+                  .agg(F.sum("n").alias("n"), F.max("top_tf").alias("top_tf")))
+    by_term = bool(index.by_term and added.by_term)
+    return replace(index, counted=index.counted.unionByName(added.counted), stored_stats=stats, blocks=blocks,
+                   by_term=index.by_term + added.by_term if by_term else (),
+                   apart=index.apart.unionByName(added.apart) if by_term else None)
+
+
+def _without_hot(index: Index) -> Index:
+    """The merged index without the postings of terms that are too frequent in all segments together."""
+    hot = index.stored_stats.where(~index.is_posted()).select("term", "bucket")
+    hot = F.broadcast(hot) if fits_broadcast(hot, "term") else hot
+    # Joined by bucket too, so that a choice of buckets is pushed to both sides.
+    return replace(index, counted=index.counted.join(hot, ["bucket", "term"], "left_anti"))
+
+
+def segments_of(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """The version of an index's list of segments, 0 without one, and the folders of the segments added to it."""
+    rows = _read_if_there(spark, f"{path}/manifest", T.StructType([*schemas.MANIFEST.fields, _VERSION]))
+    last = None if rows is None else rows.agg(F.max("version").alias("n")).first()["n"]
+    if last is None:
+        return 0, []
+    listed = rows.where((F.col("version") == last) & F.col("segment").isNotNull()).orderBy("place").collect()
+    return last, [r["segment"] for r in listed]
+
+
+def _write_manifest(spark: SparkSession, path: str, segments: list[str]) -> None:
+    """The next version of the list; of two that are written at once the second fails, as its folder is there."""
+    # A list without segments has one row without a name.
+    rows = [(s, n) for n, s in enumerate(segments)] or [(None, 0)]
+    version = segments_of(spark, path)[0] + 1
+    spark.createDataFrame(rows, schemas.MANIFEST).coalesce(1).write.parquet(f"{path}/manifest/version={version}")
+
+
+def append_segment(index: Index, path: str) -> None:
+    """Add the documents of an unsaved index to the one saved at ``path``, whose files stay as they are.
+
+    The documents must be new to it. They are written as a segment with the saved index's settings, and the list of
+    segments gets a new version once the segment is complete. What was loaded before does not change.
+    """
+    spark = index.counted.sparkSession
+    saved = _load_segment(spark, path)
+    if saved is None:
+        raise FileNotFoundError(f"no index at {path}")
+    check_extensible(saved)
+    if index.is_cut:
+        raise ValueError("documents are added with all their terms: build their index without cuts")
+    segment = f"segments/{uuid.uuid4().hex}"
+    save_index(replace(index, max_df=saved.max_df), f"{path}/{segment}", saved.n_buckets, block_docs=saved.block_docs,
+               by_term=bool(saved.by_term))
+    _write_manifest(spark, path, [*segments_of(spark, path)[1], segment])
+
+
+def compact_index(spark: SparkSession, path: str, compacted: str) -> Index:
+    """Write the index at ``path`` with all its segments as one at ``compacted``, and load that.
+
+    The statistics are those of the segments, added up. Nothing at ``path`` changes.
+    """
+    index = load_index(spark, path)
+    whole = replace(index, n_buckets=None, blocks=None, by_term=(), apart=None)
+    save_index(whole, compacted, index.n_buckets, block_docs=index.block_docs, by_term=bool(index.by_term))
+    return load_index(spark, compacted)
+
+
+def _read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType([*schema.fields, _BUCKET])).parquet(path)
 
@@ -99,9 +241,4 @@ def save_signals(path: str, pagerank: DataFrame | None = None, pageviews: DataFr
 def load_signal(spark: SparkSession, path: str, name: str) -> DataFrame | None:
     """``pagerank``, ``pageviews`` or ``titles`` from a folder of signals; None if it is not there."""
     schema = {"pagerank": schemas.PAGERANK, "pageviews": schemas.PAGEVIEWS, "titles": schemas.TITLES}[name]
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/{name}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return _read_if_there(spark, f"{path}/{name}", schema)

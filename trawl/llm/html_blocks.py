@@ -6,10 +6,13 @@ import html
 import re
 from dataclasses import dataclass, field
 
+# A value in quotes may hold < and >. It counts as such only if what follows can follow a value, so that a quote that
+# is never closed does not swallow the text up to another element's.
+INSIDE = r"""(?:[^<>=]+|=\s*"[^"]*"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|=)*+"""
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|object)\b[^>]*(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>[^<>]*(?:>|(?=<)|\Z))", re.S | re.I)
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(?P<raw>script|style|noscript|template|iframe|svg|object)\b{INSIDE}(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>{INSIDE}(?:>|(?=<)|\Z))", re.S | re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORD = re.compile(r"[a-z]+")
 

@@ -255,6 +255,34 @@ class Search:
         return rows.join(mixed.where("n > 2").select("key"), "key", "left_semi").select("id").distinct()
 
 
+def several_texts(docs: DataFrame, members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Where an id has texts with different sets: ``docs`` and ``classes`` in which each class has an id of its own,
+    and ``links (a, b)`` between the classes of one id. None where no id has.
+
+    Of the classes that begin with one id, one keeps it and the others get numbers above all ids. As each is linked
+    with the class that has the id, no such number is the least of a component.
+    """
+    twice = members.groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least < most")
+    twice = write_shared(twice.select("id"), "repeated-ids")
+    if twice.isEmpty():
+        return None
+    top = docs.agg(F.max("id").alias("top")).first()["top"]
+    first = classes.groupBy("id").agg(F.min("digest").alias("first"))
+    numbered = (lookup_join(classes, first, "id", ["digest"]).withColumn("doc", F.col("id"))
+                .withColumn("id", F.when(F.col("digest") == F.col("first"), F.col("id"))
+                            .otherwise(F.lit(top) + 1 + F.monotonically_increasing_id())).drop("first"))
+    numbered = write_shared(numbered, "classes")
+    own = lookup_join(members.join(twice, "id", "left_semi").select("id", "digest").distinct(),
+                      numbered.select("digest", F.col("id").alias("class")), "digest", ["id"])
+    links = (lookup_join(own, own.groupBy("id").agg(F.min("class").alias("a")), "id", ["class"])
+             .where("a < class").select("a", F.col("class").alias("b")))
+    named = (numbered.select("doc", "text_key", F.col("id").alias("class"))
+             .join(twice.withColumnRenamed("id", "doc"), "doc", "left_semi"))
+    keyed = docs.withColumn("text_key", F.xxhash64("text")).withColumnRenamed("id", "doc")
+    theirs = keyed.join(named, ["doc", "text_key"]).select(F.col("class").alias("id"), "text")
+    return docs.join(twice, "id", "left_anti").unionByName(theirs), numbered.drop("doc"), write_shared(links, "same-ids")
+
+
 def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
     """``(id, component)`` of the classes that verified links connect; None if no two meet in a table.
 
@@ -308,20 +336,29 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
     Null, empty and blank texts have no shingles and are linked with nothing. A text shorter than
     a shingle has its word sequence as its only one. Whole texts are used. Rows repeated with
-    their id are one document and get the same result. Rows without an id are linked with
+    their id are one document and get the same result. Rows of one id with different texts are one document too, which is
+    linked with all that any of its texts is linked with. Rows without an id are linked with
     nothing, have no component and are kept. Other columns are ignored; an empty table gives
     an empty result.
     """
     halves = halves_needed(percent)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    found = write_shared(rows.select("id", signatures(shingle_words, halves, HALF)("text").alias("f"))
-                         .select("id", "f.*"), "signatures")
+    found = write_shared(rows.select("id", F.xxhash64("text").alias("text_key"),
+                                     signatures(shingle_words, halves, HALF)("text").alias("f"))
+                         .select("id", "text_key", "f.*"), "signatures")
     members = found.where("n_shingles > 0 and id is not null")
     classes = write_shared(
-        members.groupBy("digest").agg(F.min(F.struct("id", "left", "right")).alias("s")).select("digest", "s.*"),
+        members.groupBy("digest").agg(F.min(F.struct("id", "text_key", "left", "right")).alias("s")).select("digest", "s.*"),
         "classes")
-    connected = class_components(rows, classes, shingle_words, percent)
+    texts, same = rows, None
+    repeated = several_texts(rows, members, classes)
+    if repeated is not None:
+        texts, classes, same = repeated
+    connected = class_components(texts, classes, shingle_words, percent)
+    if same is not None:
+        known = same.limit(0) if connected is None else connected.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        connected = components(known.unionByName(same))
     label = classes.select("digest", "id")
     if connected is None:
         label = label.withColumnRenamed("id", "component_id")

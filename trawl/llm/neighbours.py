@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.llm.common import read
@@ -90,6 +90,19 @@ def fewest_copies(keys: np.ndarray, x: np.ndarray, copies: int) -> np.ndarray:
     return np.sort(order[by_kind[new & (rank < copies)]])
 
 
+def best_of_each(keys: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """The columns' largest bound of each id, as rows of one id are one candidate."""
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
+    return least if len(first) == len(keys) else np.maximum.reduceat(least[:, order], first, axis=1)
+
+
+def takes_part(vector: str) -> Column:
+    """The rule of ``usable`` for a vector column."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
+    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
 class QueryBlock:
     def __init__(self, ids: pa.Array, vectors: pa.Array):
         self.by_size = {x.shape[1]: (keys, Quantised(x)) for keys, x in usable(ids, vectors)}
@@ -125,8 +138,9 @@ class QueryBlock:
                 least[itself] = most[itself] = -np.inf
                 limit = np.array([h[0][0] if len(h := heaps.get((size, n), ())) == k else -np.inf
                                   for n in range(part.start, part.stop)])
-                if least.shape[1] >= k:
-                    limit = np.maximum(limit, np.partition(least, -k, axis=1)[:, -k])
+                sure = best_of_each(keys[own], least)
+                if sure.shape[1] >= k:
+                    limit = np.maximum(limit, np.partition(sure, -k, axis=1)[:, -k])
                 q, c = np.nonzero((most >= limit[:, None]) & ~itself)
                 scores = queries.cosine(q + left, rows, c + top)
                 for n, key, score in zip((q + left).tolist(), keys[c + top].tolist(), scores.tolist()):
@@ -159,7 +173,7 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     the executors in blocks of bounded size; candidates are read where they lie, and each
     partition sends on ``k`` per query at most. Fewer candidates than ``k`` are all
     returned. Rows of one id with different vectors are one candidate with the larger cosine; of
-    such queries any one row is taken. Vectors that are null, empty, zero or hold null or non-finite components,
+    such queries any one row that can take part is taken. Vectors that are null, empty, zero or hold null or non-finite components,
     and those with a null id, take no part on either side. A repeated candidate counts once,
     repeated queries give one result; other columns are ignored. An empty table gives an
     empty result.
@@ -167,7 +181,8 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     context = candidates.sparkSession.sparkContext
     rows = candidates.select(id_col, vector_col)
     parts = []
-    for block in query_blocks(queries.dropDuplicates([id_col]), id_col, vector_col):
+    asked = queries.where(takes_part(vector_col)).dropDuplicates([id_col])
+    for block in query_blocks(asked, id_col, vector_col):
         shared = context.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

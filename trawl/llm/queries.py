@@ -28,4 +28,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": sql.DECONTAMINATION,
     "op6_substring_dedup": sql.REPEATS,
     "op10_near_duplicates": sql.NEAR_DUPLICATES,
+    "op11_licenses": sql.LICENSES,
+    "op12_spelling": sql.SPELLING,
+    "op13_manifest": sql.MANIFEST,
 }

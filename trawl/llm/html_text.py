@@ -17,6 +17,10 @@ PATH_DIMS, WORD_DIMS, NUMBERS, HIDDEN = 64, 32, 6, 12
 DIMS = PATH_DIMS + WORD_DIMS + NUMBERS
 #: Pages to fit to, and blocks of the longest of them.
 TRAIN_PAGES, TRAIN_BLOCKS = 200, 200
+#: Pages read for each page to fit to, as some turn out to be too long or to have their main part inside another.
+DRAWN = 5
+#: Pages that name a main part.
+NAMES_MAIN = r"""(?i)<(article|main)\b|\brole\s*=\s*["']?(article|main)\b"""
 #: Cells (blocks and padding) that are labelled together.
 CELLS = 20_000
 
@@ -226,6 +230,13 @@ class BlockLabeller:
         return ["\n\n".join(b.text for b, p in zip(own, ps) if p >= 0.5) for own, ps in zip(blocks, scores)]
 
 
+class NamesOnly(BlockLabeller):
+    """What is left where there is nothing to learn from: all blocks outside the parts whose names say that they are others."""
+
+    def main_texts(self, pages: list[str]) -> list[str]:
+        return ["\n\n".join(b.text for b in leaf_blocks(p) if not any(map(is_other, b.path))) for p in pages]
+
+
 def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(r) for r in rows])
     x = np.zeros((len(rows), sizes.max(), *rows[0].shape[1:]), rows[0].dtype)
@@ -255,27 +266,30 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], epochs: int = 8, rate: float
 
 # --- on DataFrames ----------------------------------------------------------------------------
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = TRAIN_PAGES) -> BlockLabeller:
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+          most: int = TRAIN_PAGES) -> BlockLabeller:
     """A labeller fitted to at most ``most`` pages, chosen by a hash of the id.
 
     There are no labels: those of the training blocks come from HTML's own names for parts
     of a page (``weak_label``). Of the network's inputs those names are a part only, and in
-    half of the changed pages the main part has lost its own.
+    half of the changed pages the main part has lost its own. Pages are drawn among those that name a main part, five
+    for each that is needed, and the first that can be used are. Where no page can, the names of other parts decide.
     """
-    ids = (pages.where(F.octet_length(html_col) > 0).select(F.col(id_col).alias("_id")).dropDuplicates()
-           .orderBy(F.xxhash64("_id"), "_id").limit(most))
+    ids = (pages.where(F.col(html_col).rlike(NAMES_MAIN)).select(F.col(id_col).alias("_id")).dropDuplicates()
+           .orderBy(F.xxhash64("_id"), "_id").limit(DRAWN * most))
     rows = text_function(training_rows, "x binary, y binary, n array<int>", ["x", "y", "n"],
                          [pa.binary(), pa.binary(), pa.list_(pa.int32())])
     found = (pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html"))
-             .join(F.broadcast(ids), "_id").limit(2 * most).select("_id", rows("_html").alias("f")).select("_id", "f.*"))
+             .join(F.broadcast(ids), "_id").limit(2 * DRAWN * most).select("_id", rows("_html").alias("f")).select("_id", "f.*"))
+    usable = found.where(F.size("n") > 0).orderBy(F.xxhash64("_id"), "_id", F.xxhash64("x")).limit(most)
     learn = []
-    for row in sorted(found.collect(), key=lambda r: (r["_id"], r["x"])):
+    for row in sorted(usable.collect(), key=lambda r: (r["_id"], r["x"])):
         x, y = np.frombuffer(row["x"], np.float32).reshape(-1, DIMS), np.frombuffer(row["y"], np.int8)
         at = 0
         for n in row["n"]:
             learn.append((x[at:at + n], y[at:at + n].astype(np.float32)))
             at += n
-    return fit(learn) if learn else BlockLabeller()
+    return fit(learn) if learn else NamesOnly()
 
 
 def extract(pages: DataFrame, model: BlockLabeller, html_col: str = "html") -> DataFrame:

@@ -290,6 +290,14 @@ def search_bm25_pruned(s, d):
     return _rounded(found, "score").drop("title")
 
 
+def search_bm25_lengths(s, d):
+    """BM25 in which long documents count less, over a saved index with lengths and block bounds."""
+    path = shared_path(s, "index")
+    store.save_index(_body(s, d), path, n_buckets=8, block_docs=PRUNED_BLOCK, lengths=True)
+    found = ranking.search_bm25(store.load_index(s, path), fx.queries(s, d), k=20, lengths=True)
+    return _rounded(found, "score").drop("title")
+
+
 def search_body_by_term(s, d):
     """Body search by shuffle over postings that were saved bucketed by term and are not moved for the join."""
     path = shared_path(s, "index")
@@ -409,7 +417,8 @@ REGISTERED = [
     pageviews_read, pageviews_parse, pageviews_map, pageviews_map_max, pageviews_map_last, title_map, title_map_repeated, signal_max,
     pagerank_lookup, pageview_lookup,
     search_body, search_title, search_anchor, search_combined, search_combined_no_signals,
-    search_combined_large_batch, empty_queries, search_bm25, search_bm25_pruned, search_body_by_term,
+    search_combined_large_batch, empty_queries, search_bm25, search_bm25_pruned, search_bm25_lengths,
+    search_body_by_term,
     title_resolve,
     precision_at_5, recall_at_30, f1_at_30, average_precision_40, results_quality, evaluate,
     index_save_load, index_segments, index_compacted, signals_save_load, qrels_json, qrels_json_object,

@@ -147,6 +147,14 @@ gains AS (
     q.q_tf * ln(1 + (n.n - s.df + 0.5) / (s.df + 0.5)) * p.tf * 2.5 / (p.tf + 1.5)) AS score
   FROM q_terms q JOIN body_stats s USING (term) JOIN body_postings p USING (term), n
   GROUP BY q.query_id, p.doc_id)"""
+BM25_LENGTHS = """n AS (SELECT count(*) AS n FROM body_stats),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS DOUBLE) AS size FROM body_tf GROUP BY doc_id),
+mean AS (SELECT avg(size) AS mean FROM sizes),
+gains AS (
+  SELECT q.query_id, p.doc_id, sum(
+    q.q_tf * ln(1 + (n.n - s.df + 0.5) / (s.df + 0.5)) * p.tf * 2.5 / (p.tf + 1.5 * (0.25 + 0.75 * size / mean))) AS score
+  FROM q_terms q JOIN body_stats s USING (term) JOIN body_postings p USING (term) JOIN sizes z ON z.doc_id = p.doc_id, n, mean
+  GROUP BY q.query_id, p.doc_id)"""
 BODY_RUN = _with(BODY, QUERY_TERMS, _cosine("docs"), _top("body_scores"))
 
 
@@ -309,6 +317,7 @@ FROM pages LEFT JOIN views ON id = page_id""",
         "search_combined_no_signals": _with(LINKS, *all_indexes, ANCHOR, *scores, _blend(False), _top("blended")) + run,
         "search_bm25": _with(BODY, QUERY_TERMS, BM25, _top("gains")) + run,
         "search_bm25_pruned": _with(BODY, QUERY_TERMS, BM25, _top("gains", 10)) + run,
+        "search_bm25_lengths": _with(BODY, QUERY_TERMS, BM25_LENGTHS, _top("gains", 20)) + run,
         "search_body_by_term": BODY_RUN + run,
         "title_resolve": pages + """SELECT doc_id, coalesce(p.title, CAST(doc_id AS VARCHAR)) AS title
 FROM documents LEFT JOIN page_docs p ON p.id = doc_id""",

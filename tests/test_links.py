@@ -78,3 +78,31 @@ def test_edges_and_vertices(spark):
     assert found.count() == 5
     assert sorted(map(tuple, links.link_edges(found).collect())) == [(1, 1), (1, 2), (1, 9)]
     assert sorted(map(tuple, links.link_vertices(corpus).collect())) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_updated_ranks_are_near_the_limit_and_take_fewer_rounds(spark):
+    """Some links are added to a graph, a page goes and a page comes; a full run starts all ranks at 1."""
+    rng = random.Random(6)
+    before = {(rng.randrange(300), rng.randrange(300)) for _ in range(1200)}
+    after = {e for e in before if 7 not in e} | {(300, 5), (12, 300), (3, 4)}
+    table = lambda edges: spark.createDataFrame(sorted(edges), "src bigint, dst bigint")
+    docs = spark.range(301).where("id <> 7")
+    earlier = links.pagerank(table(before), spark.range(300), iterations=40, checkpoint_every=20)
+    limit = {r.id: r.pagerank for r in links.pagerank(table(after), docs, iterations=40, checkpoint_every=20).collect()}
+    started = {}
+    for name, ranks in (("earlier", earlier), ("none", earlier.limit(0))):
+        found, started[name] = links.update_pagerank(table(after), docs, ranks, tolerance=0.02)
+        found = {r.id: r.pagerank for r in found.collect()}
+        assert found.keys() == limit.keys()
+        assert sum(abs(found[i] - limit[i]) for i in limit) / len(limit) < 0.04
+    assert 0 < started["earlier"] < started["none"]
+
+
+def test_updated_ranks_of_an_unchanged_graph_take_no_round(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 2)], "src bigint, dst bigint")
+    earlier = links.pagerank(edges, spark.range(1, 3), iterations=40, checkpoint_every=20)
+    repeated = earlier.unionByName(earlier).unionByName(spark.createDataFrame([(9, 5.0), (None, 1.0)], earlier.schema))
+    found, rounds = links.update_pagerank(edges, spark.range(1, 3), repeated, all_vertices=True)
+    assert rounds == 0 and sorted(found.collect()) == sorted(earlier.collect())
+    empty, rounds = links.update_pagerank(edges.limit(0), spark.range(0), earlier)
+    assert empty.count() == 0

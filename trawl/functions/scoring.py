@@ -14,9 +14,9 @@ def bm25_idf(df: Column, n: Column | int) -> Column:
     return F.log(1 + (F.lit(n) - df + 0.5) / (df + 0.5))
 
 
-def bm25_gain(weight: Column, tf: Column, k1: float) -> Column:
-    """One term's gain; document length is taken as average, as the index keeps no lengths."""
-    return weight * tf * (k1 + 1) / (tf + k1)
+def bm25_gain(weight: Column, tf: Column, k1: float, relative_length: Column | float = 1.0) -> Column:
+    """One term's gain; ``relative_length`` is what the document's length makes of ``k1``, 1 for an average one."""
+    return weight * tf * (k1 + 1) / (tf + k1 * relative_length)
 
 
 def or_one(x: Column) -> Column:

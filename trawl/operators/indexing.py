@@ -31,7 +31,8 @@ class Index:
     ``counted`` is already cut and has the partition column ``bucket``. If they were saved with it, ``blocks``
     holds ``(term, block, n, top_tf)``, the number of postings and the largest count of each term in each ``block_docs``
     consecutive ids, and ``by_term`` the postings once more as tables that are bucketed by term. Terms with
-    more postings than one task should read are left out of those and stand in ``apart``.
+    more postings than one task should read are left out of those and stand in ``apart``. ``stored_lengths`` has
+    ``(doc_id, length)``.
     """
 
     counted: DataFrame
@@ -43,6 +44,16 @@ class Index:
     block_docs: int | None = None
     by_term: tuple[DataFrame, ...] = ()
     apart: DataFrame | None = None
+    stored_lengths: DataFrame | None = None
+
+    @property
+    def lengths(self) -> DataFrame:
+        """``(doc_id, length)``: the number of terms of each document with any, those of cut terms too."""
+        if self.stored_lengths is not None:
+            return self.stored_lengths
+        if self.stored_stats is not None:
+            raise ValueError("the index was saved without the lengths of its documents: save it with lengths=True")
+        return self.counted.groupBy("doc_id").agg(F.sum("tf").alias("length"))
 
     @property
     def term_stats(self) -> DataFrame:

@@ -44,21 +44,7 @@ def pagerank(edges: DataFrame, docs: DataFrame, reset: float = RESET,
     many links is split into parts by target, and its rank is sent to each part. Between stretches
     ranks are written. Edges with a NULL end are left out.
     """
-    one, none = F.lit(1), F.lit(0)
-    edges = write_shared(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL"), "edges")
-    ends = (docs.select("id", one.alias("doc"), none.alias("out"))
-            .unionByName(edges.select(F.col("src").alias("id"), none.alias("doc"), one.alias("out")))
-            .unionByName(edges.select(F.col("dst").alias("id"), none.alias("doc"), none.alias("out")))
-            .groupBy("id").agg(F.max("doc").alias("doc"), F.sum("out").alias("out")))
-    # At most MAX_SPLIT_KEYS sources can lie above the cut, see spread_join.
-    cut = F.greatest(F.lit(SPLIT_LOAD), F.ceil(edges.agg(F.count("*")).scalar() / MAX_SPLIT_KEYS))
-    vertices = write_shared(
-        ends.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("out") / cut)).cast("int")), "vertices")
-    heavy = F.broadcast(vertices.where("parts > 1").select(F.col("id").alias("src"), "parts"))
-    divided = (edges.join(heavy, "src", "left")
-               .select("src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1)))
-                       .cast("int").alias("part")))
-
+    vertices, divided = _graph(edges, docs)
     ranks = vertices.withColumn("rank", F.lit(1.0))
     for step in range(1, iterations + 1):
         shares = (ranks.where("out > 0")
@@ -75,3 +61,62 @@ def pagerank(edges: DataFrame, docs: DataFrame, reset: float = RESET,
     if not all_vertices:
         ranks = ranks.where("doc = 1")
     return ranks.select("id", (F.col("rank") * scale).alias("pagerank"))
+
+
+def _graph(edges: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(id, doc, out, parts)`` of all vertices, and ``(src, dst, part)``; both are written once."""
+    one, none = F.lit(1), F.lit(0)
+    edges = write_shared(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL"), "edges")
+    ends = (docs.select("id", one.alias("doc"), none.alias("out"))
+            .unionByName(edges.select(F.col("src").alias("id"), none.alias("doc"), one.alias("out")))
+            .unionByName(edges.select(F.col("dst").alias("id"), none.alias("doc"), none.alias("out")))
+            .groupBy("id").agg(F.max("doc").alias("doc"), F.sum("out").alias("out")))
+    # At most MAX_SPLIT_KEYS sources can lie above the cut, see spread_join.
+    cut = F.greatest(F.lit(SPLIT_LOAD), F.ceil(edges.agg(F.count("*")).scalar() / MAX_SPLIT_KEYS))
+    vertices = write_shared(
+        ends.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("out") / cut)).cast("int")), "vertices")
+    heavy = F.broadcast(vertices.where("parts > 1").select(F.col("id").alias("src"), "parts"))
+    divided = (edges.join(heavy, "src", "left")
+               .select("src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1)))
+                       .cast("int").alias("part")))
+    return vertices, divided
+
+
+def update_pagerank(edges: DataFrame, docs: DataFrame, earlier: DataFrame, reset: float = RESET,
+                    tolerance: float = 1e-3, all_vertices: bool = False) -> tuple[DataFrame, int]:
+    """PageRank of a graph that has changed, from ``earlier (id, pagerank)``, and the number of rounds it took.
+
+    The residual of a vertex is what the recurrence would change its rank by. A round adds the residuals of more than
+    ``tolerance * reset`` to their ranks and passes them on along the links; the others wait until more has come
+    together. When none is left, ranks differ from the recurrence's limit by ``tolerance`` in the mean at most, before they are
+    scaled to mean 1. Where little has changed, few vertices have anything to pass on, and rounds are few. New
+    vertices start at 1; those that are gone do not count. Of repeated or null earlier ranks of a vertex the
+    largest counts. What a round leaves is written to the shared folder.
+    """
+    vertices, divided = _graph(edges, docs)
+    start = earlier.groupBy("id").agg(F.max("pagerank").alias("rank"))
+    state = write_shared(vertices.join(start, "id", "left").withColumn("rank", F.coalesce("rank", F.lit(1.0))), "ranks")
+    # Earlier ranks were scaled; taken times this factor, their residuals add up to 0.
+    kept = F.sum("rank") - (1 - reset) * F.sum(F.when(F.col("out") > 0, F.col("rank")).otherwise(0.0))
+    state = state.withColumn("rank", F.col("rank") * state.agg(reset * F.count("*") / kept).scalar())
+
+    def received(amount: str, senders: DataFrame) -> DataFrame:
+        shares = (senders.where("out > 0")
+                  .select(F.col("id").alias("src"), (F.col(amount) / F.col("out")).alias("share"),
+                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+        return (divided.join(shares, ["src", "part"]).groupBy(F.col("dst").alias("id"))
+                .agg(((1 - reset) * F.sum("share")).alias("received")))
+
+    came = F.coalesce("received", F.lit(0.0))
+    state = write_shared(state.join(received("rank", state), "id", "left")
+                         .withColumn("residual", reset + came - F.col("rank")).drop("received"), "ranks")
+    passes, rounds = F.abs("residual") > tolerance * reset, 0
+    while not state.where(passes).isEmpty():
+        moved = state.join(received("residual", state.where(passes)), "id", "left")
+        state = write_shared(moved.select(
+            "id", "doc", "out", "parts", F.when(passes, F.col("rank") + F.col("residual")).otherwise(F.col("rank")).alias("rank"),
+            (F.when(passes, 0.0).otherwise(F.col("residual")) + came).alias("residual")), "ranks")
+        rounds += 1
+    scale = state.agg(F.count("*") / F.sum("rank")).scalar()
+    ranks = state if all_vertices else state.where("doc = 1")
+    return ranks.select("id", (F.col("rank") * scale).alias("pagerank")), rounds

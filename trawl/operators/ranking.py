@@ -70,10 +70,12 @@ search_title = search_anchor = search_binary
 def search_bm25(index: Index, queries: DataFrame, k1: float = K1, b: float = B,
                 n: Column | int | None = None, k: int | None = TOP_K,
                 titles: DataFrame | None = None, stopwords: Iterable[str] | None = None,
-                broadcast_bytes: int = BROADCAST_BYTES, prune: bool = True) -> DataFrame:
+                broadcast_bytes: int = BROADCAST_BYTES, prune: bool = True, lengths: bool = False) -> DataFrame:
     """BM25 with fixed document length. ``n`` is the number of terms with postings unless given.
 
-    ``b`` is accepted for compatibility: with every length taken as average it has no effect.
+    With every length taken as average, ``b`` has no effect. With ``lengths`` it has: a document's length, its number
+    of terms, over the mean length of documents with any, makes the fraction ``b`` of ``k1``. That needs an index
+    that is not saved, or was saved with lengths.
     With ``k=None`` all matches are returned, their rank left empty.
 
     Over an index that was saved with the largest count of each term and block, ``prune`` passes over the blocks
@@ -85,12 +87,19 @@ def search_bm25(index: Index, queries: DataFrame, k1: float = K1, b: float = B,
         n = index.posted_terms.agg(F.count("*")).scalar()
     batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes)
     weights = batch.known_terms().withColumn("weight", F.col("q_tf") * scoring.bm25_idf(F.col("df"), n))
-    gain = lambda tf: scoring.bm25_gain(F.col("weight"), F.col(tf), k1)
+    by_length, least = F.lit(1.0), 1.0
+    if lengths:
+        batch.lengths = index.lengths
+        mean = batch.lengths.agg(F.avg("length")).scalar()
+        by_length, least = 1 - b + b * F.col("length") / mean, 1 - b
+    gain = scoring.bm25_gain(F.col("weight"), F.col("tf"), k1, by_length)
     if prune and k is not None and batch.small and index.blocks is not None:
-        found = _Blocks(batch, weights, gain, k, broadcast_bytes).best()
+        # No document of a block gains more than one without any length would.
+        most = scoring.bm25_gain(F.col("weight"), F.col("top_tf"), k1, least)
+        found = _Blocks(batch, weights, gain, most, k, broadcast_bytes).best()
         if found is not None:
             return batch.titled(found, titles, k)
-    return batch.titled(top_k(batch.score(weights, [F.sum(gain("tf")).alias("score")]), k), titles, k)
+    return batch.titled(top_k(batch.score(weights, [F.sum(gain).alias("score")]), k), titles, k)
 
 
 def search(body: Index, title: Index, anchor: Index | None, queries: DataFrame, n_docs: Column | int,
@@ -199,6 +208,7 @@ class _Batch:
     def __init__(self, indexes: dict[str, Index], queries: DataFrame,
                  stopwords: Iterable[str] | None, broadcast_bytes: int):
         self.terms = query_terms(queries, stopwords)
+        self.lengths: DataFrame | None = None
         self.n_queries, text_bytes = rows_and_bytes(queries, "query")
         self.small = token_bytes(text_bytes, len(indexes)) <= broadcast_bytes
         self.indexes = self._push_terms(indexes) if self.small else indexes
@@ -259,13 +269,14 @@ class _Batch:
         weights = weights.where(limit.isNull() | (F.col("df") < limit))
         if self.small:
             # Grouped where the documents' postings are, so the signals come to the same partitions.
-            return _with_signals(self.postings.join(F.broadcast(weights), on).groupBy(*pair).agg(*sums), signals)
+            matched = self.with_lengths(self.postings).join(F.broadcast(weights), on)
+            return _with_signals(matched.groupBy(*pair).agg(*sums), signals)
         weights = write_shared(weights, "query-weights")
         loads = weights.groupBy(*on).agg((F.max("df").cast("double") * F.count("*")).alias("load"))
-        if all(i.by_term for i in self.indexes.values()):
+        if self.lengths is None and all(i.by_term for i in self.indexes.values()):
             matched = self._join_by_term(weights, loads)
         else:
-            matched = spread_join(self.postings, weights, on, loads, ["doc_id"])
+            matched = spread_join(self.with_lengths(self.postings), weights, on, loads, ["doc_id"])
         summed = matched.groupBy(*pair).agg(*sums)
         if signals:
             summed = write_shared(summed, "sums")
@@ -273,6 +284,10 @@ class _Batch:
             summed = lookup_join(summed, _signal(name, table), "doc_id", ["query_id"], "left")
         return summed
 
+    def with_lengths(self, postings: DataFrame) -> DataFrame:
+        """Postings with their documents' lengths if those are asked for, which come to where the documents are."""
+        return postings if self.lengths is None else postings.join(self.lengths, "doc_id")
+
     def _join_by_term(self, weights: DataFrame, loads: DataFrame) -> DataFrame:
         """Postings that lie bucketed by term, joined there; only weights are moved to them.
 
@@ -320,14 +335,13 @@ class _Blocks:
     # Bounds and scores are sums in different orders.
     SLACK = 1e-6
 
-    def __init__(self, batch: _Batch, weights: DataFrame, gain, k: int, broadcast_bytes: int):
+    def __init__(self, batch: _Batch, weights: DataFrame, gain: Column, most: Column, k: int, broadcast_bytes: int):
         limit, index = batch._limit("max_df"), batch.indexes[BODY]
-        self.index, self.gain, self.k, self.broadcast_bytes = index, gain, k, broadcast_bytes
+        self.batch, self.index, self.gain, self.k, self.broadcast_bytes = batch, index, gain, k, broadcast_bytes
         self.weights = weights.where(limit.isNull() | (F.col("df") < limit)).select("query_id", "term", "weight")
-        most = F.greatest(F.lit(0.0), gain("top_tf"))
         self.bounds = write_shared(
             index.blocks.join(F.broadcast(self.weights), "term").groupBy("query_id", "block")
-            .agg(F.sum(most).alias("bound"), F.max("n").alias("docs"), F.count("*").alias("terms")), "bounds")
+            .agg(F.sum(F.greatest(F.lit(0.0), most)).alias("bound"), F.max("n").alias("docs"), F.count("*").alias("terms")), "bounds")
 
     def best(self) -> DataFrame | None:
         """``(query_id, rank, doc_id, score)``; None if the blocks and terms are too many to broadcast."""
@@ -366,8 +380,8 @@ class _Blocks:
         wanted = chosen.join(F.broadcast(self.weights), "query_id")
         block = block_of("doc_id", self.index.block_docs).alias("block")
         postings = self.index.counted.where(self._ranges(chosen)).select("term", "doc_id", "tf", block)
-        matched = postings.join(F.broadcast(wanted), ["term", "block"])
-        return matched.groupBy("query_id", "doc_id").agg(F.sum(self.gain("tf")).alias("score"))
+        matched = self.batch.with_lengths(postings.join(F.broadcast(wanted), ["term", "block"]))
+        return matched.groupBy("query_id", "doc_id").agg(F.sum(self.gain).alias("score"))
 
     def _ranges(self, chosen: DataFrame) -> Column:
         """The chosen blocks' ids as a condition for the scan, where they make few ranges."""

@@ -33,6 +33,12 @@ INDEX_INFO = T.StructType([
     T.StructField("complete", T.BooleanType()),
     T.StructField("block_docs", T.LongType()),
     T.StructField("by_term", T.BooleanType()),
+    T.StructField("lengths", T.BooleanType()),
+])
+
+LENGTHS = T.StructType([
+    T.StructField("doc_id", T.LongType()),
+    T.StructField("length", T.LongType()),
 ])
 
 BLOCKS = T.StructType([

@@ -20,13 +20,16 @@ from trawl.operators.joins import fits_broadcast
 N_BUCKETS = 124
 SLICE_POSTINGS = 50_000_000
 
+# Bloom filters beside each row group, by which a look-up of a term that is not there reads no rows.
+ABSENT_TERMS = {"parquet.bloom.filter.enabled#term": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 _BUCKET = T.StructField("bucket", T.IntegerType())
 _VERSION = T.StructField("version", T.IntegerType())
 
 
 def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
                slice_postings: int = SLICE_POSTINGS, mode: str = "error",
-               block_docs: int | None = None, by_term: bool = False) -> None:
+               block_docs: int | None = None, by_term: bool = False, lengths: bool = False) -> None:
     """Write statistics, then postings, one folder per term bucket, sorted by term and doc_id.
 
     A bucket with more than ``slice_postings`` postings, be they of one term, is
@@ -35,18 +38,18 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
 
     With ``block_docs`` the largest count of each term in each block of so many ids is saved, by which searches
     pass over blocks. With ``by_term`` the postings are saved once more, bucketed by term, so that
-    large batches join them where they are. Segments added to an index that is overwritten are forgotten.
+    large batches join them where they are; with ``lengths`` the documents' lengths, which BM25 may use. Segments added to an index that is overwritten are forgotten.
 
     The counted terms are written before all else, as they are read twice and tokenising
     costs far more than reading its result back.
     """
     spark = index.counted.sparkSession
-    info = (index.min_df, index.max_df, n_buckets, block_docs, by_term)
+    info = (index.min_df, index.max_df, n_buckets, block_docs, by_term, lengths)
     _write_info(spark, info, path, False, mode)
     index, bucket = index.materialised(), term_bucket(F.col("term"), n_buckets)
     (index.term_stats.withColumn("bucket", bucket)
      .repartitionById(n_buckets, "bucket").sortWithinPartitions("term")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_stats"))
+     .write.mode(mode).options(**ABSENT_TERMS).partitionBy("bucket").parquet(f"{path}/term_stats"))
     stats = _read(spark, f"{path}/term_stats", schemas.TERM_STATS)
     posted = stats.where(index.is_posted())
 
@@ -63,10 +66,12 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
     (postings.withColumn("bucket", bucket)
      .repartitionById(firsts[-1], slice_id)
      .sortWithinPartitions("bucket", "term", "doc_id")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
+     .write.mode(mode).options(**ABSENT_TERMS).partitionBy("bucket").parquet(f"{path}/postings"))
     saved = _read(spark, f"{path}/postings", schemas.POSTINGS)
     if block_docs is not None:
         _save_blocks(saved, path, n_buckets, block_docs, mode)
+    if lengths:
+        index.lengths.write.mode(mode).parquet(f"{path}/lengths")
     if by_term:
         _save_by_term(saved, stats.where(F.col("df") > slice_postings), path, n_buckets, mode)
     if segments_of(spark, path)[1]:
@@ -144,6 +149,8 @@ def _load_segment(spark: SparkSession, path: str) -> Index | None:
     if info["by_term"]:
         index = replace(index, by_term=(_read_by_term(spark, f"{path}/by_term", info["n_buckets"]),),
                         apart=spark.read.schema(schemas.POSTINGS).parquet(f"{path}/apart"))
+    if info["lengths"]:
+        index = replace(index, stored_lengths=spark.read.schema(schemas.LENGTHS).parquet(f"{path}/lengths"))
     return index
 
 
@@ -155,10 +162,12 @@ def _merged(index: Index, added: Index) -> Index:
     if index.blocks is not None and added.blocks is not None:
         blocks = (index.blocks.unionByName(added.blocks).groupBy("term", "bucket", "block")
                   .agg(F.sum("n").alias("n"), F.max("top_tf").alias("top_tf")))
-    by_term = bool(index.by_term and added.by_term)
+    by_term, lengths = bool(index.by_term and added.by_term), None
+    if index.stored_lengths is not None and added.stored_lengths is not None:
+        lengths = index.stored_lengths.unionByName(added.stored_lengths)
     return replace(index, counted=index.counted.unionByName(added.counted), stored_stats=stats, blocks=blocks,
                    by_term=index.by_term + added.by_term if by_term else (),
-                   apart=index.apart.unionByName(added.apart) if by_term else None)
+                   apart=index.apart.unionByName(added.apart) if by_term else None, stored_lengths=lengths)
 
 
 def _without_hot(index: Index) -> Index:
@@ -202,7 +211,7 @@ def append_segment(index: Index, path: str) -> None:
         raise ValueError("documents are added with all their terms: build their index without cuts")
     segment = f"segments/{uuid.uuid4().hex}"
     save_index(replace(index, max_df=saved.max_df), f"{path}/{segment}", saved.n_buckets, block_docs=saved.block_docs,
-               by_term=bool(saved.by_term))
+               by_term=bool(saved.by_term), lengths=saved.stored_lengths is not None)
     _write_manifest(spark, path, [*segments_of(spark, path)[1], segment])
 
 
@@ -213,7 +222,8 @@ def compact_index(spark: SparkSession, path: str, compacted: str) -> Index:
     """
     index = load_index(spark, path)
     whole = replace(index, n_buckets=None, blocks=None, by_term=(), apart=None)
-    save_index(whole, compacted, index.n_buckets, block_docs=index.block_docs, by_term=bool(index.by_term))
+    save_index(whole, compacted, index.n_buckets, block_docs=index.block_docs, by_term=bool(index.by_term),
+               lengths=index.stored_lengths is not None)
     return load_index(spark, compacted)
 
 

@@ -1,12 +1,14 @@
 """Cases that once gave wrong rows: quotes in tags, pages without names, ids that repeat with other contents."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trawl.llm import html_text
+from trawl.llm import html_text, toxicity
 from trawl.llm.html_blocks import leaf_blocks
 from trawl.llm.near_duplicates import near_duplicates
 from trawl.llm.neighbours import nearest
+from trawl.llm.samples import bounded_sample
 
 
 @pytest.mark.parametrize("page, texts", [
@@ -58,3 +60,52 @@ def test_near_duplicates_of_an_id_with_several_texts(spark):
     found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85).collect()
     assert {r.doc_id: r.component_id for r in found} == {7: 3, 8: 3, 9: 3, 3: 3, 20: 3, 10: 3, 5: 5, 11: 5, 12: 5, 21: 21}
     assert len(found) == len(rows) and all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_pairs_are_learnt_at_the_length_of_documents():
+    """Toxic where exactly one of two terms occurs, among 150 others; weights alone cannot tell more than three in four."""
+    rng = np.random.default_rng(2)
+    both = rng.integers(0, 2, (4000, 2))
+    rows = [np.concatenate([np.flatnonzero(b), np.unique(rng.integers(2, 1000, 150))]) for b in both]
+    label = (both[:, 0] ^ both[:, 1]).astype(float)
+    model = toxicity.fit(rows[:3000], label[:3000], np.zeros(0, np.int64), 1000, 1.0)
+
+    def right():
+        return np.mean((toxicity.sums_of(model, rows[3000:]) * model.scale + model.shift > 0) == label[3000:])
+    assert right() > 0.95
+    assert 2 <= model.factors.any(1).sum() <= 64  # the other terms have none
+    model.factors[:] = 0
+    assert right() < 0.8
+
+
+def test_telling_pairs_are_leading_eigenvectors():
+    rng = np.random.default_rng(5)
+    rows = [np.flatnonzero(rng.random(30) < 0.4) for _ in range(200)]
+    residual = rng.normal(size=200)
+    x = np.array([np.isin(np.arange(30), r) / np.sqrt(max(1, len(r))) for r in rows])
+    x -= x.mean(0)
+    full = (x * residual[:, None]).T @ x
+    np.fill_diagonal(full, 0)
+    values, vectors = np.linalg.eigh(full)
+    found = toxicity.telling_pairs(toxicity.Sample(rows, 30), residual, rounds=400)
+    assert np.allclose((found ** 2).sum(0)[:3], values[::-1][:3], rtol=1e-3)
+    assert abs(found[:, 0] @ vectors[:, -1]) / np.linalg.norm(found[:, 0]) > 0.99
+
+
+def test_sample_of_a_large_label_is_the_first_by_hash(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.when(F.col("id") % 100 < 97, "a").when(
+        F.col("id") % 100 < 99, "b").alias("y"))
+    rows = rows.unionByName(rows.where("k < 50"))
+    found = bounded_sample(rows, "k", "y", 100, 250)
+    order = {r.y: [] for r in found.collect()}
+    for r in found.collect():
+        order[r.y].append(r.k)
+    want = {}
+    for r in rows.distinct().orderBy(F.xxhash64("k"), "k").collect():
+        if len(want.setdefault(r.y, [])) < 100:
+            want[r.y].append(r.k)
+    assert {y: len(k) for y, k in order.items()} == {"a": 83, "b": 83, None: 84} or sum(map(len, order.values())) == 250
+    assert all(set(order[y]) <= set(want[y]) for y in order)
+    # The large label's rows were cut before they were ranked.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bound" in plan

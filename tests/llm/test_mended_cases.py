@@ -1,10 +1,13 @@
 """Cases that once gave wrong rows: quotes in tags, pages without names, ids that repeat with other contents."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trawl.llm import html_text, toxicity
+from trawl.llm import html_text, repeats, toxicity
+from trawl.llm.common import UNSPACED, Words
 from trawl.llm.html_blocks import leaf_blocks
 from trawl.llm.near_duplicates import near_duplicates
 from trawl.llm.neighbours import nearest
@@ -109,3 +112,51 @@ def test_sample_of_a_large_label_is_the_first_by_hash(spark):
     # The large label's rows were cut before they were ranked.
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "_bound" in plan
+
+
+def line_texts(n=900):
+    """A nine-word line in a third of the texts, between ever different words; and a few windows that repeat."""
+    rng = random.Random(3)
+    line = "this line stands in very many of the texts".split()
+    again = [f"again{i}" for i in range(30)]
+    rows = []
+    for i in range(n):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(60)]
+        if i % 3 == 0:
+            words[25:25] = line
+        if i % 300 == 0:
+            words[10:10] = again + line + line + line
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def least_hashes(rows, frequent):
+    words = Words([t.encode() for _, t in rows], UNSPACED)
+    _, n, least = repeats.super_kmers(words, frequent=frequent)
+    hashes, which = np.unique(least, return_inverse=True)
+    return np.bincount(which, n, len(hashes))
+
+
+def test_a_frequent_line_does_not_fill_a_bucket(spark):
+    rows = line_texts()
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "id bigint, text string")
+    frequent = repeats.frequent_pieces(docs, 100_000, 20, repeats.PIECE, windows=60, one_in=1)
+    assert 0 < len(frequent) < 20
+    before, after = least_hashes(rows, repeats.NOTHING), least_hashes(rows, frequent)
+    assert before.max() > 100 and after.max() < 60 and after.sum() == before.sum()
+
+
+@pytest.mark.parametrize("windows", [0, 60])
+def test_windows_of_frequent_pieces_are_found(spark, windows):
+    """With 0, every piece is frequent and each window goes by all its words."""
+    rows = line_texts()
+    docs = spark.createDataFrame(rows, "id bigint, text string")
+    found = repeats.repeated_ranges(docs, bucket_chars=2_000, frequent_windows=windows, one_in=1)
+    got = {(r.id, p) for r in found.collect() for p in range(r.start, r.stop)}
+    seen, want = {}, set()
+    for i, text in rows:
+        words = text.split()
+        for p in range(len(words) - 19):
+            if seen.setdefault(tuple(words[p:p + 20]), (i, p)) != (i, p):
+                want |= {(i, q) for q in range(p, p + 20)}
+    assert got == want and want

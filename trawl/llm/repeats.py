@@ -22,6 +22,10 @@ COMPRESSION = 6
 BUCKET_CHARS = 8_000_000
 #: Characters turned into arrays together, and held until packed strings are sent.
 STEP_CHARS, PACK_CHARS = 500_000, 8_000_000
+#: Windows of one least hash that are too many for a bucket, unless that made more than so many such hashes; and the
+#: share of the documents by which they are counted. They decide where windows go, not what is found.
+FREQUENT_WINDOWS, MOST_FREQUENT, COUNTED_ONE_IN = 200_000, 100_000, 64
+NOTHING, LATE = np.zeros(0, np.uint64), np.uint64(1 << 63)
 #: Stands for a null id, after all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -56,16 +60,24 @@ def sliding_least(x: np.ndarray, size: int) -> np.ndarray:
     return least
 
 
-def super_kmers(words: Words, window: int = WINDOW, piece: int = PIECE) -> tuple[np.ndarray, ...]:
+def super_kmers(words: Words, window: int = WINDOW, piece: int = PIECE,
+                frequent: np.ndarray = NOTHING) -> tuple[np.ndarray, ...]:
     """First word, number of windows and least hash of each run of windows that share the least hash.
 
     The hash of a window is the least over its pieces of ``piece`` words. Windows lie within one
-    text.
+    text. Pieces whose hashes are among the sorted ``frequent`` ones count only after all others, and a window of nothing
+    else has the hash of all its words. So a window's hash still follows from its words alone.
     """
     n = len(words.starts) - window + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    least = sliding_least(rolled(words.hashes, piece), window - piece + 1)
+    pieces = rolled(words.hashes, piece) >> np.uint64(1)
+    if len(frequent):
+        near = frequent[np.minimum(np.searchsorted(frequent, pieces), len(frequent) - 1)]
+        pieces = np.where(near == pieces, pieces | LATE, pieces)
+    least = sliding_least(pieces, window - piece + 1)
+    if len(frequent):
+        least = np.where(least >= LATE, rolled(words.hashes, window), least)
     at = np.flatnonzero(words.text[:n] == words.text[window - 1:])
     least = least[at]
     new = np.append(True, (np.diff(at) != 1) | (least[1:] != least[:-1])) if len(at) else np.zeros(0, bool)
@@ -80,8 +92,8 @@ class Packer:
     occur earlier, so only their ranges are sent.
     """
 
-    def __init__(self, buckets: int, window: int, piece: int):
-        self.buckets, self.window, self.piece = buckets, window, piece
+    def __init__(self, buckets: int, window: int, piece: int, frequent: np.ndarray = NOTHING):
+        self.buckets, self.window, self.piece, self.frequent = buckets, window, piece, frequent
         self.clear()
 
     def clear(self) -> None:
@@ -93,7 +105,7 @@ class Packer:
         raw = [t.encode() for t in texts]
         sums = [zlib.crc32(r) for r in raw]
         words = Words([b" ".join(r.split()) for r in raw], UNSPACED)
-        first, count, least = super_kmers(words, self.window, self.piece)
+        first, count, least = super_kmers(words, self.window, self.piece, self.frequent)
         last = first + count + self.window - 2
         text = words.text[first]
         held, window, buffer = self.strings, self.window, words.buffer
@@ -210,14 +222,40 @@ def joined_ranges(rows: np.ndarray) -> np.ndarray:
 RANGES = "id bigint, crc bigint, start bigint, stop bigint"
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, piece: int = PIECE,
-                    bucket_chars: int = BUCKET_CHARS) -> DataFrame:
+def frequent_pieces(docs: DataFrame, size: int, window: int, piece: int, windows: int = FREQUENT_WINDOWS,
+                    one_in: int = COUNTED_ONE_IN) -> np.ndarray:
+    """Least hashes of more than ``windows`` windows, about, in order.
+
+    A short line that stands in very many documents between ever different words would fill one bucket. Windows are counted
+    in one document of ``one_in``, chosen by a hash of the text. At most ``MOST_FREQUENT`` hashes are returned, as the
+    number that counts as too many rises with the text.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in arrow_slices(batch.column(0), STEP_CHARS, 64):
+                words = Words([b" ".join(t.encode().split()) for t in texts], UNSPACED)
+                _, n, least = super_kmers(words, window, piece)
+                hashes, which = np.unique(least, return_inverse=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes.view(np.int64)), pa.array(np.bincount(which, n, len(hashes)).astype(np.int64))],
+                    names=["least", "n"])
+    # A window takes two bytes of text or more.
+    cut = max(windows, size // (2 * MOST_FREQUENT)) / one_in
+    counted = (docs.where(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0).select("text")
+               .mapInArrow(count, "least bigint, n bigint").groupBy("least").agg(F.sum("n").alias("n")))
+    found = counted.where(F.col("n") > cut).orderBy(F.desc("n"), "least").limit(MOST_FREQUENT).collect()
+    return np.sort(np.array([r["least"] for r in found], np.int64).view(np.uint64))
+
+
+def repeated_ranges(docs: DataFrame, window: int = WINDOW, piece: int = PIECE, bucket_chars: int = BUCKET_CHARS,
+                    frequent_windows: int = FREQUENT_WINDOWS, one_in: int = COUNTED_ONE_IN) -> DataFrame:
     """``(id, crc, start, stop)``: ranges of words in windows that start earlier elsewhere, of ``docs (id, text)``."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = size // bucket_chars + 1
+    frequent = frequent_pieces(docs, size, window, piece, frequent_windows, one_in)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(buckets, window, piece)
+        packer = Packer(buckets, window, piece, frequent)
 
         def sent() -> pa.RecordBatch:
             rows = list(packer.packed())
@@ -260,8 +298,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     Runs of windows with the same least hash travel as one compressed string to the bucket of
     that hash, so a word is sent about three times. Equal strings within a part of the corpus
-    travel once, so a passage in very many documents does not fill a bucket. The number of
-    buckets grows with the text.
+    travel once, so a passage in very many documents does not fill a bucket. Nor does a short line between ever
+    different words: windows with it go by their other words. The number of buckets grows with the text.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))

@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, db, name):
 
 def test_all_are_registered():
     assert queries.QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name,table", [("op1_language", "documents"), ("op2_html_text", "pages"), ("op3_token_counts", "documents"),

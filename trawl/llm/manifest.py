@@ -214,7 +214,7 @@ class Forest:
                 left.append(np.full(len(rank), s["left"]))
             known += [s["digest"] for s in row["upper"]]
             steps = len(at)
-            flat = lambda parts, kind: np.array(parts, kind).reshape(steps, -1).T.ravel()
+            flat = lambda parts, kind: np.array(parts, kind).reshape(steps, len(rank)).T.ravel()
             digests = pa.array(known, pa.string()).take(pa.array(flat(at, np.int64), mask=~flat(there, bool)))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(rank) + 1) * steps, pa.int32()),

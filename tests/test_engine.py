@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from test_ranking import ASKED, SCHEMA, make_corpus
 from trawl import Engine, ask
 from trawl.operators import links, metrics, ranking, signals
 from trawl.operators.indexing import build_anchor_index, build_index
+from trawl.sources import shared
 from trawl.sources.corpus import read_corpus
 from trawl.sources.shared import run_folder, shared_folder, shared_path
 
@@ -74,3 +77,11 @@ def test_nothing_is_cut_by_default(spark, tmp_path):
     engine = Engine.build(corpus, str(tmp_path / "engine"), n_buckets=2, iterations=1)
     terms = {r.term for r in build_index(corpus, "text").counted.select("term").distinct().collect()}
     assert {r.term for r in engine.body.postings.select("term").collect()} == terms
+
+
+def test_run_folder_is_cleared(spark, tmp_path, monkeypatch):
+    """In a folder of its own, as other tests read theirs."""
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: str(tmp_path))
+    assert shared.write_shared(spark.range(3), "t").count() == 3
+    assert shared.clear_run_folder(spark) and not os.path.exists(shared.run_folder(spark))
+    assert not shared.clear_run_folder(spark)

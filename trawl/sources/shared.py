@@ -28,10 +28,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession) -> str:
-    """Where this application's intermediate tables are; the caller may delete it once no result is read any more."""
+    """Where this application's intermediate tables are; see ``clear_run_folder``."""
     return f"{shared_folder(spark).rstrip('/')}/trawl/{spark.sparkContext.applicationId}"
 
 
+def clear_run_folder(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables, once no result is read any more; whether there were any."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -97,25 +97,28 @@ def sigmoid(x):
 
 
 class Sample:
-    """Rows of terms as a sparse matrix, each row scaled to length 1, with products by few columns at a time."""
+    """Rows of terms as a sparse matrix, each row scaled to length 1. Columns are taken one by one, to hold little at a time."""
 
     def __init__(self, rows: list[np.ndarray], n_terms: int):
         sizes = np.array([len(r) for r in rows])
         self.full = np.flatnonzero(sizes)
         self.first = (np.cumsum(sizes) - sizes)[self.full]
-        self.term, self.row = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
-        self.value = 1 / np.sqrt(sizes[self.row])
+        self.term = np.concatenate(rows).astype(np.int32)
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+        self.value = (1 / np.sqrt(np.maximum(sizes, 1))).astype(np.float32)[self.row]
         self.shape = len(rows), n_terms
 
     def times(self, u: np.ndarray) -> np.ndarray:
         out = np.zeros((self.shape[0], u.shape[1]))
         if len(self.full):
-            out[self.full] = np.add.reduceat(u[self.term] * self.value[:, None], self.first, axis=0)
+            for k, column in enumerate(u.T):
+                out[self.full, k] = np.add.reduceat(column.astype(np.float32)[self.term] * self.value, self.first, dtype=float)
         return out
 
     def sums(self, a: np.ndarray) -> np.ndarray:
         """For each term the sum over the rows that have it."""
-        return np.stack([np.bincount(self.term, self.value * c[self.row], self.shape[1]) for c in a.T], axis=1)
+        return np.stack([np.bincount(self.term, self.value * c.astype(np.float32)[self.row], self.shape[1]) for c in a.T],
+                        axis=1)
 
 
 def telling_pairs(sample: Sample, residual: np.ndarray, rounds: int = 25, seed: int = 7) -> np.ndarray:
@@ -130,7 +133,7 @@ def telling_pairs(sample: Sample, residual: np.ndarray, rounds: int = 25, seed:
     residual = residual[:, None]
     ones = np.ones((rows, 1))
     mean, told = sample.sums(ones) / rows, sample.sums(residual)
-    squares = np.bincount(sample.term, sample.value ** 2 * residual[sample.row, 0], n_terms)[:, None]
+    squares = np.bincount(sample.term, sample.value ** 2 * residual.astype(np.float32)[sample.row, 0], n_terms)[:, None]
     diagonal = squares - 2 * mean * told + mean * mean * residual.sum()
 
     def product(u: np.ndarray) -> np.ndarray:

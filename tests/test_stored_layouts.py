@@ -190,6 +190,36 @@ def test_bucketed_postings_are_not_moved(spark, by_term, asked):
     assert not any("Exchange" in line for line in way)
 
 
+def test_large_buckets_are_written_by_several_tasks(spark, tmp_path):
+    """No table of an index is dealt out by the number of buckets alone, which stays while the corpus grows."""
+    rng = random.Random(3)
+    texts = [(i, " ".join(rng.choices([f"word{j}" for j in range(400)], k=12))) for i in range(120)]
+    docs = spark.createDataFrame(texts, "id bigint, text string")
+    path, index = str(tmp_path / "i"), build_index(docs, "text")
+    store.save_index(index, path, n_buckets=2, slice_postings=90, block_docs=1, by_term=True)
+    for name in ("term_stats", "postings", "blocks", "by_term"):
+        sizes = [r["count"] for r in spark.read.parquet(f"{path}/{name}").groupBy(F.input_file_name()).count().collect()]
+        assert max(sizes) < 2 * 90 and len(sizes) >= sum(sizes) // 90, name
+    loaded = store.load_index(spark, path)
+    assert table(loaded.term_stats) == table(index.term_stats) and table(loaded.postings) == table(index.postings)
+    assert table(loaded.by_term[0]) == table(loaded.postings) and loaded.apart.isEmpty()
+    assert loaded.blocks.agg(F.sum("n")).first()[0] == loaded.postings.count() == loaded.blocks.count()
+    queries = spark.createDataFrame([(0, "word1 word2 word2"), (1, "word3")], "query_id bigint, query string")
+    found = [table(ranking.search_body(i, queries, 120, broadcast_bytes=most).withColumn("score", F.round("score", 9)))
+             for i in (index, loaded) for most in (0, ranking.BROADCAST_BYTES)]
+    assert found[0] and all(f == found[0] for f in found)
+
+
+def test_index_saved_before_buckets_were_counted(spark, corpus, rows, asked, tmp_path):
+    """Its info has no number of them; there are as many as the index has."""
+    path = str(tmp_path / "i")
+    store.save_index(build_index(corpus, "text"), path, n_buckets=3, by_term=True)
+    info = spark.createDataFrame(spark.read.parquet(f"{path}/info").drop("term_buckets").collect(),
+                                 spark.read.parquet(f"{path}/info").drop("term_buckets").schema)
+    info.write.mode("overwrite").parquet(f"{path}/info")
+    check(ranking.search_body(store.load_index(spark, path), asked, 62, broadcast_bytes=0), cosines(lists(rows, "text")))
+
+
 # --- segments -------------------------------------------------------------------------------
 
 MORE = [(200 + i, "stone " * (i + 1) + "newword everywhere") for i in range(5)]

@@ -34,6 +34,7 @@ INDEX_INFO = T.StructType([
     T.StructField("block_docs", T.LongType()),
     T.StructField("by_term", T.BooleanType()),
     T.StructField("lengths", T.BooleanType()),
+    T.StructField("term_buckets", T.IntegerType()),
 ])
 
 LENGTHS = T.StructType([

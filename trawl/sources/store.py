@@ -8,7 +8,7 @@ from functools import reduce
 from itertools import accumulate
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +16,11 @@ from trawl import schemas
 from trawl.functions.text import quoted
 from trawl.operators.indexing import Index, block_of, check_extensible, cut_postings, term_bucket
 from trawl.operators.joins import fits_broadcast
+from trawl.sources.shared import write_shared
 
 N_BUCKETS = 124
-SLICE_POSTINGS = 50_000_000
+# Rows that one task sorts and writes, at some 90 bytes of memory each.
+SLICE_POSTINGS = 2_000_000
 
 # Bloom filters beside each row group, by which a look-up of a term that is not there reads no rows.
 ABSENT_TERMS = {"parquet.bloom.filter.enabled#term": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
@@ -33,71 +35,91 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS,
     """Write statistics, then postings, one folder per term bucket, sorted by term and doc_id.
 
     A bucket with more than ``slice_postings`` postings, be they of one term, is
-    divided by document into slices, each written by one task. ``info`` goes first, marked
+    divided by document into slices, each written by one task; its statistics are divided by term, its
+    block bounds by term and block. ``info`` goes first, marked
     as incomplete, and again last: a save that broke off is never loaded.
 
     With ``block_docs`` the largest count of each term in each block of so many ids is saved, by which searches
-    pass over blocks. With ``by_term`` the postings are saved once more, bucketed by term, so that
+    pass over blocks. With ``by_term`` the postings are saved once more, bucketed by term, in ``n_buckets`` or as
+    many as hold ``slice_postings`` each, so that
     large batches join them where they are; with ``lengths`` the documents' lengths, which BM25 may use. Segments added to an index that is overwritten are forgotten.
 
     The counted terms are written before all else, as they are read twice and tokenising
     costs far more than reading its result back.
     """
     spark = index.counted.sparkSession
-    info = (index.min_df, index.max_df, n_buckets, block_docs, by_term, lengths)
+    info = (index.min_df, index.max_df, n_buckets, block_docs, by_term, lengths, None)
     _write_info(spark, info, path, False, mode)
     index, bucket = index.materialised(), term_bucket(F.col("term"), n_buckets)
-    (index.term_stats.withColumn("bucket", bucket)
-     .repartitionById(n_buckets, "bucket").sortWithinPartitions("term")
+    counted_stats = write_shared(index.term_stats.withColumn("bucket", bucket), "term-stats")
+    # One row per bucket, so n_buckets rows at most.
+    sizes = counted_stats.groupBy("bucket").agg(
+        F.count("*").alias("terms"), F.sum(F.when(index.is_posted(), F.col("df"))).alias("postings")).collect()
+    of_terms = _Slices({r["bucket"]: r["terms"] for r in sizes}, n_buckets, slice_postings)
+    of_postings = _Slices({r["bucket"]: r["postings"] or 0 for r in sizes}, n_buckets, slice_postings)
+    (counted_stats.repartitionById(of_terms.number, of_terms.slice_of(F.hash("term")))
+     .sortWithinPartitions("bucket", "term")
      .write.mode(mode).options(**ABSENT_TERMS).partitionBy("bucket").parquet(f"{path}/term_stats"))
     stats = _read(spark, f"{path}/term_stats", schemas.TERM_STATS)
     posted = stats.where(index.is_posted())
 
-    # One row per bucket, so n_buckets rows at most.
-    sizes = {r["bucket"]: r["n"] for r in posted.groupBy("bucket").agg(F.sum("df").alias("n")).collect()}
-    slices = [max(1, -(-sizes.get(b, 0) // slice_postings)) for b in range(n_buckets)]
-    firsts = list(accumulate(slices, initial=0))
-    of_bucket = lambda values: F.element_at(F.lit(values), F.col("bucket") + 1)
-    slice_id = (of_bucket(firsts) + F.pmod(F.xxhash64("doc_id"), of_bucket(slices))).cast("int")
-
     postings = index.counted.select("term", "doc_id", "tf")
     if index.is_cut:
         postings = cut_postings(postings, posted, small=fits_broadcast(posted, "term"))
     (postings.withColumn("bucket", bucket)
-     .repartitionById(firsts[-1], slice_id)
+     .repartitionById(of_postings.number, of_postings.slice_of(F.xxhash64("doc_id")))
      .sortWithinPartitions("bucket", "term", "doc_id")
      .write.mode(mode).options(**ABSENT_TERMS).partitionBy("bucket").parquet(f"{path}/postings"))
     saved = _read(spark, f"{path}/postings", schemas.POSTINGS)
     if block_docs is not None:
-        _save_blocks(saved, path, n_buckets, block_docs, mode)
+        _save_blocks(saved, path, of_postings, block_docs, mode)
     if lengths:
         index.lengths.write.mode(mode).parquet(f"{path}/lengths")
     if by_term:
-        _save_by_term(saved, stats.where(F.col("df") > slice_postings), path, n_buckets, mode)
+        term_buckets = max(n_buckets, -(-of_postings.rows // slice_postings))
+        info = (*info[:-1], term_buckets)
+        _save_by_term(saved, stats.where(F.col("df") > slice_postings), path, term_buckets, mode)
     if segments_of(spark, path)[1]:
         _write_manifest(spark, path, [])
     _write_info(spark, info, path, True, "overwrite")
 
 
-def _save_blocks(postings: DataFrame, path: str, n_buckets: int, block_docs: int, mode: str) -> None:
-    """Counted where the postings lie, as those of a term and block lie side by side."""
-    blocks = (postings.groupBy("bucket", "term", block_of("doc_id", block_docs).alias("block"))
+class _Slices:
+    """Buckets divided by a hash into slices of about ``most`` rows, each for one task."""
+
+    def __init__(self, sizes: dict[int, int], n_buckets: int, most: int):
+        self.rows = sum(sizes.values())
+        self.slices = [max(1, -(-sizes.get(b, 0) // most)) for b in range(n_buckets)]
+        self.firsts = list(accumulate(self.slices, initial=0))
+        self.number = self.firsts[-1]
+
+    def slice_of(self, hashed: Column) -> Column:
+        """The slice of a row with the column ``bucket``, by a hash other than that of its bucket."""
+        of_bucket = lambda values: F.element_at(F.lit(values), F.col("bucket") + 1)
+        return (of_bucket(self.firsts) + F.pmod(hashed, of_bucket(self.slices))).cast("int")
+
+
+def _save_blocks(postings: DataFrame, path: str, slices: _Slices, block_docs: int, mode: str) -> None:
+    """Blocks may be nearly as many as postings, so they are counted and written by as many tasks."""
+    keys = ["bucket", "term", "block"]
+    blocks = (postings.select("bucket", "term", block_of("doc_id", block_docs).alias("block"), "tf")
+              .repartition(slices.number, *keys).groupBy(*keys)
               .agg(F.count("*").alias("n"), F.max("tf").alias("top_tf")))
-    (blocks.repartitionById(n_buckets, "bucket").sortWithinPartitions("bucket", "term", "block")
+    (blocks.repartitionById(slices.number, slices.slice_of(F.xxhash64("term", "block"))).sortWithinPartitions(*keys)
      .write.mode(mode).partitionBy("bucket").parquet(f"{path}/blocks"))
 
 
-def _save_by_term(postings: DataFrame, large: DataFrame, path: str, n_buckets: int, mode: str) -> None:
-    """Bucketed by term, without the ``large`` terms, of which there are fewer than 1 / slice_postings of all postings."""
+def _save_by_term(postings: DataFrame, large: DataFrame, path: str, term_buckets: int, mode: str) -> None:
+    """Bucketed by term, a bucket a task, without the ``large`` terms, of which there are fewer than 1 / slice_postings of all postings."""
     spark = postings.sparkSession
     apart = F.broadcast(large.select("term")) if fits_broadcast(large, "term") else large.select("term")
     (postings.join(apart, "term", "left_semi").select("term", "doc_id", "tf")
      .write.mode(mode).parquet(f"{path}/apart"))
     name = _table_name()
     (postings.join(apart, "term", "left_anti").select("term", "doc_id", "tf")
-     .repartition(n_buckets, "term").sortWithinPartitions("term", "doc_id")
+     .repartition(term_buckets, "term").sortWithinPartitions("term", "doc_id")
      .write.mode(mode).format("parquet").option("path", f"{path}/by_term")
-     .bucketBy(n_buckets, "term").sortBy("term").saveAsTable(name))
+     .bucketBy(term_buckets, "term").sortBy("term").saveAsTable(name))
     # The catalog's entry is made anew by each session that loads the index; the files stay.
     spark.sql(f"DROP TABLE {name}")
 
@@ -106,11 +128,11 @@ def _table_name() -> str:
     return f"postings_{uuid.uuid4().hex}"
 
 
-def _read_by_term(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
+def _read_by_term(spark: SparkSession, path: str, term_buckets: int) -> DataFrame:
     name = _table_name()
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.POSTINGS.fields)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (term) SORTED BY (term) "
-              f"INTO {n_buckets} BUCKETS LOCATION {quoted(path)}")
+              f"INTO {term_buckets} BUCKETS LOCATION {quoted(path)}")
     return spark.table(name)
 
 
@@ -147,7 +169,9 @@ def _load_segment(spark: SparkSession, path: str) -> Index | None:
     if info["block_docs"] is not None:
         index = replace(index, blocks=_read(spark, f"{path}/blocks", schemas.BLOCKS), block_docs=info["block_docs"])
     if info["by_term"]:
-        index = replace(index, by_term=(_read_by_term(spark, f"{path}/by_term", info["n_buckets"]),),
+        # Indices saved before there was that column have as many buckets there.
+        buckets = info["term_buckets"] or info["n_buckets"]
+        index = replace(index, by_term=(_read_by_term(spark, f"{path}/by_term", buckets),),
                         apart=spark.read.schema(schemas.POSTINGS).parquet(f"{path}/apart"))
     if info["lengths"]:
         index = replace(index, stored_lengths=spark.read.schema(schemas.LENGTHS).parquet(f"{path}/lengths"))

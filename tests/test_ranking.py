@@ -8,6 +8,7 @@ import brute
 from trawl.operators import joins, ranking
 from trawl.operators.indexing import build_anchor_index, build_index, posting_lists
 from trawl.operators.links import links_of
+from trawl.sources import store
 
 VOCABULARY = [f"word{i}" for i in range(30)] + ["stone", "henge", "fire", "london", "don't", "x" * 40]
 
@@ -218,6 +219,29 @@ def test_documents_are_tokenised_once(spark, corpus, asked, tmp_path):
     assert text_scans(build_index(stored, "text", min_df=2).postings) == 0
 
 
+@pytest.mark.parametrize("saved", [False, True])
+def test_tasks_grow_with_the_pairs(spark, corpus, rows, asked, tmp_path, monkeypatch, saved):
+    """Pairs of queries and documents are summed and ranked by as many tasks as they ask for, not by a fixed number."""
+    monkeypatch.setattr(ranking, "TASK_PAIRS", 10)
+    index = build_index(corpus, "text")
+    if saved:
+        store.save_index(index, str(tmp_path / "i"), n_buckets=2, by_term=True)
+        index = store.load_index(spark, str(tmp_path / "i"))
+    held = [set(brute.words(r[2] or "")) for r in rows]
+    terms = [set(brute.words(q)) for q in ASKED]
+    matches = sum(t in words for words in held for q in terms for t in q)
+    n = max(8, -(-min(matches, 62 * asked.count()) // 10))
+    assert n > 8
+    batch = ranking._Batch({"body": index}, asked, None, ranking.BROADCAST_BYTES, 62)
+    assert batch.postings.rdd.getNumPartitions() == n
+    for most in (0, ranking.BROADCAST_BYTES):
+        found = ranking.search_body(index, asked, 62, broadcast_bytes=most)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        want = n if most else max(8, -(-matches // 10))
+        assert any(f", {want})" in line and "doc_id" in line for line in plan.splitlines() if "Exchange hash" in line)
+        check(found, cosines(lists(rows, "text")))
+
+
 def test_hot_documents_by_shuffle(spark, corpus, rows, asked, monkeypatch):
     """Signals and titles come by look-ups that split a document in many results."""
     monkeypatch.setattr(joins.spread_join, "__defaults__", ("inner", 2))

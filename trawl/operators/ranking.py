@@ -3,7 +3,8 @@
 A batch is ``queries (query_id, query)``, one row per query. All rankers work alike.
 The query side is a table of weighted terms. If it is measured to be small, it is
 broadcast: postings of other terms are dropped in the scan, the rest is
-exchanged once by document, and only then meets the query terms, so that each
+exchanged once by document, and only then meets the query terms, in as many tasks as the
+number of pairs asks for, so that each
 (query, document) score is summed in place and the best k of each query are picked
 before the second and last exchange. A larger batch is joined by shuffle, with terms split
 by the number of pairs they yield.
@@ -32,6 +33,8 @@ WEIGHTS = {BODY: 0.60, TITLE: 0.20, ANCHOR: 0.10, "pagerank": 0.05, "pageviews":
 K1, B = 1.5, 0.75
 # A batch with at most this many distinct terms has them pushed into the scan of a saved index.
 PUSHED_TERMS = 1_000
+# Pairs of a query and a document that one task sums and ranks, at some 200 bytes of memory each.
+TASK_PAIRS = 1_000_000
 # Ranges of ids pushed into the scan when whole blocks are passed over.
 PUSHED_RANGES = 100
 
@@ -47,7 +50,7 @@ def search_body(index: Index, queries: DataFrame, n_docs: Column | int, k: int |
                 titles: DataFrame | None = None, stopwords: Iterable[str] | None = None,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """TF-IDF cosine over the body. Both norms run over the query's terms only."""
-    batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes)
+    batch = _Batch({BODY: index}, queries, stopwords, broadcast_bytes, n_docs)
     scores = batch.score(_cosine_weights(batch.known_terms(), n_docs), _cosine_sums())
     return batch.titled(top_k(scores.select("query_id", "doc_id", _cosine().alias("score")), k), titles, k)
 
@@ -206,7 +209,7 @@ class _Batch:
     """The query side of one search and its join with the postings of some indices."""
 
     def __init__(self, indexes: dict[str, Index], queries: DataFrame,
-                 stopwords: Iterable[str] | None, broadcast_bytes: int):
+                 stopwords: Iterable[str] | None, broadcast_bytes: int, most_docs: Column | int | None = None):
         self.terms = query_terms(queries, stopwords)
         self.lengths: DataFrame | None = None
         self.n_queries, text_bytes = rows_and_bytes(queries, "query")
@@ -218,7 +221,28 @@ class _Batch:
         self.postings = _by_field({f: i.counted.select("term", "doc_id", "tf") for f, i in self.indexes.items()})
         if self.small:
             wanted = F.broadcast(self.terms.select("term"))
-            self.postings = self.postings.join(wanted, "term", "left_semi").repartition("doc_id")
+            self.postings = self._by_document(self.postings.join(wanted, "term", "left_semi"), most_docs)
+
+    def _by_document(self, postings: DataFrame, most_docs: Column | int | None) -> DataFrame:
+        """Asked postings by document, in tasks of about ``TASK_PAIRS`` pairs with the terms of queries.
+
+        No query finds more than ``most_docs`` documents, which bounds the pairs and tells without a scan whether one
+        task could take all. Otherwise they are counted: from saved statistics, or over the asked postings, which are then
+        written, so that they are tokenised once.
+        """
+        if isinstance(most_docs, Column):
+            most_docs = self.terms.sparkSession.range(1).select(most_docs.alias("n")).first()["n"]
+        most = None if most_docs is None else most_docs * self.n_queries
+        if most is not None and most <= TASK_PAIRS:
+            return postings.repartition("doc_id")
+        if all(i.stored_stats is not None for i in self.indexes.values()):
+            sizes = _by_field({f: i.posted_terms for f, i in self.indexes.items()})
+        else:
+            postings = write_shared(postings, "asked-postings")
+            sizes = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
+        asked = self.terms.groupBy("term").agg(F.count("*").alias("n"))
+        tasks = _tasks_of(sizes.join(F.broadcast(asked), "term"), F.col("df") * F.col("n"), most)
+        return postings.repartition("doc_id") if tasks is None else postings.repartition(tasks, "doc_id")
 
     def titled(self, results: DataFrame, titles: DataFrame | None, k: int | None) -> DataFrame:
         return resolve_titles(results, titles, None if k is None else k * self.n_queries)
@@ -277,7 +301,8 @@ class _Batch:
             matched = self._join_by_term(weights, loads)
         else:
             matched = spread_join(self.with_lengths(self.postings), weights, on, loads, ["doc_id"])
-        summed = matched.groupBy(*pair).agg(*sums)
+        tasks = _tasks_of(weights, F.col("df"))
+        summed = (matched if tasks is None else matched.repartition(tasks, *pair)).groupBy(*pair).agg(*sums)
         if signals:
             summed = write_shared(summed, "sums")
         for name, table in signals.items():
@@ -396,6 +421,19 @@ class _Blocks:
         return reduce(Column.__or__, ranges, F.lit(False))
 
 
+def _tasks_of(rows: DataFrame, pairs: Column, most: int | None = None) -> int | None:
+    """Tasks for the ``pairs`` that all rows make, ``most`` at most, and as many tasks as exchanges have or more.
+
+    None if one task may take them all. Named, the number stays as it is: Spark would put tasks together by the bytes
+    of postings, of which each may make a pair with every query.
+    """
+    total = rows.agg(F.sum(pairs).alias("n")).first()["n"] or 0
+    total = total if most is None else min(total, most)
+    if total <= TASK_PAIRS:
+        return None
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_PAIRS))
+
+
 def _by_field(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [t.withColumn("field", F.lit(f)) for f, t in tables.items()])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -285,8 +286,8 @@ def train(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "doc_id",
 
     It is fitted to at most ``per_label`` rows of either label, chosen by a hash of the id.
     Its terms are all those in ``LEAST_DOCS`` of these rows, whatever their labels, so that a term may tell only
-    together with another; Spark counts them. Terms with neither weight nor factors leave the model.
-    The driver holds the terms of the sample's texts, 4 bytes each. Labels other than 0 and 1 are left out.
+    together with another. Terms with neither weight nor factors leave the model.
+    One task holds the terms of the sample's texts, 4 bytes each, and the driver gets the model only. Labels other than 0 and 1 are left out.
     Without any labels all scores are 0; with one label only, all scores are that label.
     """
     usable = labels.where(trainable & F.col(label_col).isin(0, 1)).select(
@@ -298,14 +299,28 @@ def train(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "doc_id",
     sample = write_shared(
         texts.join(F.broadcast(chosen), "_id").limit(4 * per_label)
         .select("_id", "_label", found("_text").alias("f")).select("_id", "_label", "f.buckets"), "toxicity-sample")
-    kept = sorted(r["bucket"] for r in sample.select(F.explode("buckets").alias("bucket")).groupBy("bucket")
-                  .agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_DOCS).collect())
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = pickle.dumps(fitted_to(pa.Table.from_batches(batches), prior))
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["model"])
+
+    # Fitted by a task, since the driver would keep for good much of the memory that it takes.
+    made = [] if sample.isEmpty() else sample.coalesce(1).mapInArrow(fitted, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else fit([], np.zeros(0), np.full(1 << BITS, -1, np.int32), 0, 1.0)
+
+
+def fitted_to(sample: pa.Table, prior: dict[int, int]) -> FactorizationMachine:
+    """A model of the rows ``(_id, _label, buckets)``, given the number of labelled rows of each label."""
+    rows = sample.sort_by([("_id", "ascending"), ("_label", "ascending")])
+    target = rows["_label"].to_numpy().astype(float)
+    found = [b.values.to_numpy() for b in rows["buckets"]]
+    docs = np.zeros(1 << BITS, np.int32)
+    for buckets in found:
+        docs[buckets] += 1
+    kept = np.flatnonzero(docs >= LEAST_DOCS)
     slot = np.full(1 << BITS, -1, np.int32)
     slot[kept] = np.arange(len(kept))
-    rows = sample.toArrow().sort_by([("_id", "ascending"), ("_label", "ascending")])
-    own = [slot[b.values.to_numpy()] for b in rows["buckets"]]
+    own = [slot[b] for b in found]
     own = [r[r >= 0] for r in own]
-    target = np.array(rows["_label"].to_pylist(), float)
     n_rows, n_toxic = len(target), int(target.sum())
     odds = (prior.get(1, 0) / max(1, prior.get(0, 0))) / max(1e-9, n_toxic / max(1, n_rows - n_toxic))
     return without_idle_terms(fit(own, target, slot, len(kept), odds))

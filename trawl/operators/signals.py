@@ -33,6 +33,10 @@ def _integer(position: int) -> Column:
     return F.coalesce(field.try_cast("bigint"), grouped.try_cast("bigint"))
 
 
+class NoPositions(KeyError, ValueError):
+    """The last of several lines was asked for, and the column ``position`` that tells it is missing."""
+
+
 def pageview_map(pairs: DataFrame, on_duplicate: str = "sum") -> DataFrame:
     """One row per id; values of a repeated id are summed, or the largest or the last is kept.
 
@@ -41,7 +45,7 @@ def pageview_map(pairs: DataFrame, on_duplicate: str = "sum") -> DataFrame:
     """
     if on_duplicate == "last":
         if "position" not in pairs.columns:
-            raise ValueError("the last of several lines is known only if they are read with positions")
+            raise NoPositions("the last of several lines is known only if they are read with positions")
         last = F.max(F.struct("position", "views"))
         return pairs.groupBy("id").agg(last.alias("l")).select("id", "l.views")
     merge = {"sum": F.sum, "max": F.max}[on_duplicate]
